@@ -483,10 +483,10 @@ def _corrections(fact: DataFrame) -> DataFrame:
 @query
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = marts.lifecycle_from_events(normalized(spark, sf_dir))
-    existing = latest.first_by(events, ("event_id",), upsert.newest_first("event_id"))
+    existing = latest.first_by(events, ("event_id",), upsert.newest_first())
     operational_rows = marts.lifecycle_from_operational(enriched(spark, sf_dir))
     batch = events.unionByName(_corrections(events)).unionByName(operational_rows)
-    return upsert.merge_by_key(existing, batch, "event_id", upsert.newest_first("event_id"))
+    return upsert.merge_by_key(existing, batch, "event_id", upsert.newest_first())
 
 
 @query
@@ -494,7 +494,7 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lifecycle")
     fact = lifecycle_fact(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
     fact = fact.withColumn("event_date", F.coalesce("event_date", F.lit("1970-01-01").cast("date")))
-    order = upsert.newest_first("event_id")
+    order = upsert.newest_first()
     for batch in (fact, _corrections(fact)):
         upsert.upsert_table(spark, path, batch, "event_id", "event_date", order)
     return spark.read.parquet(path).select(*schemas.FCT_MAIL_LIFECYCLE.fieldNames())

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterlake.functions.clock import event_timestamp
-from letterlake.functions.text import parse_variant
 from letterlake.operators.decode import COORDINATES
 
 
@@ -86,79 +85,131 @@ PAYLOAD_CONTRACTS = {
 
 _VARIANT_KINDS = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "object": "OBJECT"}
 
+ENVELOPE = "envelope"
+_DOCUMENT = "map<string, variant>"
+
+
+def _rule_table() -> Column:
+    """All rules as one constant map, by scope and field."""
+
+    def entry(scope: str, field: str, rule: Rule) -> list[Column]:
+        return [
+            F.lit(f"{scope}/{field}"),
+            F.struct(
+                F.lit(_VARIANT_KINDS[rule.kind]).alias("kind"),
+                F.lit(rule.nullable).alias("nullable"),
+                F.array(*[F.lit(value) for value in rule.values]).cast("array<string>").alias("values"),
+                F.lit(rule.pattern).cast("string").alias("pattern"),
+                F.lit(rule.date_time).alias("date_time"),
+                F.lit(rule.minimum).cast("bigint").alias("minimum"),
+            ),
+        ]
+
+    scopes = {ENVELOPE: ENVELOPE_CONTRACT, **PAYLOAD_CONTRACTS}
+    return F.create_map(
+        *[
+            part
+            for scope, contract in scopes.items()
+            for field, rule in contract.items()
+            for part in entry(scope, field, rule)
+        ]
+    )
+
+
+def _required(contract: Mapping[str, Rule]) -> Column:
+    return F.array(*[F.lit(field) for field, rule in contract.items() if rule.required])
+
 
-def _violations_of(field: str, rule: Rule, path: str, label: str) -> list[Column]:
-    """One column per way to break the rule: its label when broken, else NULL."""
-    document = F.col("document")
-    node = F.try_variant_get(document, path, "variant")
-    kind = F.schema_of_variant(node)
-    text = F.try_variant_get(document, path, "string")
-    is_kind = kind.startswith(_VARIANT_KINDS[rule.kind])
-    allowed = is_kind | (kind == "VOID") if rule.nullable else is_kind
-    broken = [("type", kind.isNotNull() & ~allowed)]
-    if rule.required:
-        broken.append(("missing", kind.isNull()))
-    if rule.values:
-        broken.append(("value", is_kind & ~text.isin(*rule.values)))
-    if rule.pattern:
-        broken.append(("pattern", is_kind & ~text.rlike(rule.pattern)))
-    if rule.date_time:
-        broken.append(("format", is_kind & event_timestamp(text).isNull()))
-    if rule.minimum is not None:
-        broken.append(("minimum", is_kind & (text.try_cast("bigint") < rule.minimum)))
-    return [F.when(condition, F.lit(f"{name}:{label}")) for name, condition in broken]
-
-
-def _object_violations(contract: Mapping[str, Rule], root: str, prefix: str, text: Column) -> Column:
-    """All violations of one JSON object: broken rules and fields the contract does not know."""
-    rules = [
-        column
-        for field, rule in contract.items()
-        for column in _violations_of(field, rule, f"{root}.{field}", prefix + field)
-    ]
-    known = F.array(*[F.lit(field) for field in contract])
-    extra = F.transform(
-        F.array_except(F.json_object_keys(text), known), lambda key: F.concat(F.lit(f"extra:{prefix}"), key)
+def _fields(scope: Column, object_fields: Column, required: Column) -> Column:
+    """The fields of an object, and those it must have but lacks (with a NULL node)."""
+    present = F.transform(
+        F.map_entries(object_fields),
+        lambda e: F.struct(scope.alias("scope"), e["key"].alias("field"), e["value"].alias("node")),
     )
-    return F.concat(F.array_compact(F.array(*rules)), extra)
-
-
-def validate(topic: DataFrame) -> DataFrame:
-    """Records with a value, their event id and type, and the array ``violations`` (empty if valid)."""
-    parsed = parse_variant(topic.where(F.col("value").isNotNull()), F.col("value"), "document")
-    payload = F.get_json_object("value", "$.payload")
-    payload_is_object = F.schema_of_variant(
-        F.try_variant_get(F.col("document"), "$.payload", "variant")
-    ).startswith("OBJECT")
-    event_type = F.try_variant_get(F.col("document"), "$.event_type", "string")
-    none = F.array().cast("array<string>")
-    # A chain of cases: only the rules of the record's own type are evaluated.
-    in_payload = none
-    for kind, contract in PAYLOAD_CONTRACTS.items():
-        in_payload = F.when(
-            payload_is_object & (event_type == kind),
-            _object_violations(contract, "$.payload", "payload.", payload),
-        ).otherwise(in_payload)
-    is_object = F.schema_of_variant(F.col("document")).startswith("OBJECT")
-    violations = F.when(
-        F.coalesce(is_object, F.lit(False)),
-        F.concat(_object_violations(ENVELOPE_CONTRACT, "$", "", F.col("value")), in_payload),
-    ).otherwise(F.array(F.lit("not_json_object")))
-    return parsed.select(
-        *COORDINATES,
-        F.try_variant_get(F.col("document"), "$.event_id", "string").alias("event_id"),
-        event_type.alias("event_type"),
-        violations.alias("violations"),
+    absent = F.transform(
+        F.array_except(required, F.map_keys(object_fields)),
+        lambda field: F.struct(
+            scope.alias("scope"), field.alias("field"), F.lit(None).cast("variant").alias("node")
+        ),
+    )
+    return F.concat(present, absent)
+
+
+def _field_violation() -> Column:
+    """How one field (columns scope, field, node, rule, kind, text) breaks its rule; NULL if it does not.
+
+    Beyond presence and type a rule sets at most one further condition, so one case is enough.
+    """
+    rule, kind, text = F.col("rule"), F.col("kind"), F.col("text")
+    label = F.when(F.col("scope") == ENVELOPE, F.col("field")).otherwise(
+        F.concat(F.lit("payload."), "field")
+    )
+
+    def named(name: str) -> Column:
+        return F.concat(F.lit(f"{name}:"), label)
+
+    void = kind == "VOID"
+    return (
+        F.when(F.col("scope").isNull(), F.lit("not_json_object"))
+        .when(rule.isNull(), named("extra"))
+        .when(F.col("node").isNull(), named("missing"))
+        .when(void & rule["nullable"], F.lit(None))
+        .when(~kind.startswith(rule["kind"]), named("type"))
+        .when((F.size(rule["values"]) > 0) & ~F.array_contains(rule["values"], text), named("value"))
+        .when(rule["pattern"].isNotNull() & ~F.rlike(text, rule["pattern"]), named("pattern"))
+        .when(rule["date_time"] & event_timestamp(text).isNull(), named("format"))
+        .when(
+            rule["minimum"].isNotNull() & (text.try_cast("bigint") < rule["minimum"]), named("minimum")
+        )
     )
 
 
 def contract_violations(topic: DataFrame) -> DataFrame:
-    """One row per violation."""
-    return validate(topic).select(
-        "topic",
-        "partition",
-        "offset",
+    """One row per violation of a record with a value.
+
+    Each record is taken apart into its fields once; a field finds its rule in a constant table, so
+    the plan holds one set of checks however many contracts there are.
+    """
+    records = topic.where(F.col("value").isNotNull()).select(
+        *COORDINATES, F.explode(F.array(F.from_json("value", _DOCUMENT))).alias("document")
+    )
+    at = ["topic", "partition", "offset"]
+    text = {
+        name: F.try_variant_get(F.col("document")[name], "$", "string").alias(name)
+        for name in ("event_id", "event_type")
+    }
+    read = records.select(
+        *at,
+        *text.values(),
+        "document",
+        F.try_variant_get(F.col("document")["payload"], "$", _DOCUMENT).alias("payload"),
+    )
+    required = F.lit(None).cast("array<string>")
+    for event_type, contract in PAYLOAD_CONTRACTS.items():
+        required = F.when(F.col("event_type") == event_type, _required(contract)).otherwise(required)
+    in_envelope = _fields(F.lit(ENVELOPE), F.col("document"), _required(ENVELOPE_CONTRACT))
+    # NULL for an unknown type or a payload that is no object: nothing to check there.
+    in_payload = F.when(required.isNotNull(), _fields(F.col("event_type"), F.col("payload"), required))
+    # A record that is no JSON object stands as one field without a scope.
+    unreadable = F.array(F.struct(*[F.lit(None).alias(name) for name in ("scope", "field", "node")]))
+    fields = read.select(
+        *at,
         "event_id",
         "event_type",
-        F.explode("violations").alias("violation"),
+        F.inline(
+            F.when(F.col("document").isNull(), unreadable.cast(_FIELDS)).otherwise(
+                F.concat(in_envelope, F.coalesce(in_payload, F.array().cast(_FIELDS)))
+            )
+        ),
     )
+    rule = F.try_element_at(_rule_table(), F.concat_ws("/", "scope", "field"))
+    kind = F.schema_of_variant("node")
+    text = F.try_variant_get("node", "$", "string")
+    checked = F.struct(rule.alias("rule"), kind.alias("kind"), text.alias("text"))
+    ruled = fields.select("*", F.inline(F.array(checked)))
+    return ruled.select(
+        *at, "event_id", "event_type", _field_violation().alias("violation")
+    ).where(F.col("violation").isNotNull())
+
+
+_FIELDS = "array<struct<scope: string, field: string, node: variant>>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from letterlake.operators.latest import first_by
 from letterlake.sinks.tables import drop_partition, path_exists
 
 
-def newest_first(key: str) -> list[Column]:
+def newest_first() -> list[Column]:
     return [F.col("ingested_at").desc_nulls_last(), F.col("event_time").desc_nulls_last()]
 
 
@@ -28,29 +29,41 @@ def upsert_table(
     are found by a scan of the key and partition columns alone. A partition whose every row moved
     elsewhere is dropped at the end. Running the same batch again gives the same table.
     """
-    incoming = first_by(batch, (key,), order)
-    if not path_exists(spark, path):
-        incoming.write.partitionBy(partition).parquet(path)
-        return
+    incoming = first_by(batch, (key,), order).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if path_exists(spark, path):
+            _rewrite_touched(spark, path, incoming, key, partition)
+        else:
+            incoming.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    finally:
+        incoming.unpersist()
+
+
+def _rewrite_touched(
+    spark: SparkSession, path: str, incoming: DataFrame, key: str, partition: str
+) -> None:
+    keys = incoming.select(key)
     existing = spark.read.parquet(path)
-    replaced = existing.select(key, partition).join(incoming.select(key), key, "left_semi")
-    touched = replaced.select(partition).union(incoming.select(partition)).distinct()
+    leaving = existing.select(key, partition).join(keys, key, "left_semi").select(partition).distinct()
+    arriving = incoming.select(partition).distinct()
     # One value per touched partition: bounded by the number of partitions of the table.
-    values = [row[0] for row in touched.collect()]
-    in_touched = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
+    arriving_at, left_behind = (
+        {row[0] for row in values.collect()} for values in (arriving, leaving)
+    )
+    touched = arriving_at | left_behind
+    in_touched = F.col(partition).isin([value for value in touched if value is not None])
+    if None in touched:
         in_touched = in_touched | F.col(partition).isNull()
-    merged = (
-        existing.where(in_touched)
-        .join(incoming.select(key), key, "left_anti")
-        .unionByName(incoming)
-        .hint("rebalance", partition)
+    merged = existing.where(in_touched).join(keys, key, "left_anti").unionByName(incoming)
+    (
+        merged.hint("rebalance", partition)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
     )
-    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
-    ).parquet(path)
-    kept = {row[0] for row in incoming.select(partition).distinct().collect()}
-    for value in set(values) - kept:
+    # Overwriting leaves a partition alone that got no row: drop those whose rows all moved away.
+    for value in left_behind - arriving_at:
         rows = spark.read.parquet(path).where(F.col(partition).eqNullSafe(F.lit(value)))
-        if rows.join(incoming.select(key), key, "left_anti").isEmpty():
+        if rows.join(keys, key, "left_anti").isEmpty():
             drop_partition(spark, path, partition, value)

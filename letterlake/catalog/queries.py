@@ -234,7 +234,7 @@ def cdc_to_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def ddb_records_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = dynamodb.stream_records(inputs.attribute_topic(spark, sf_dir))
-    name = F.get_json_object("record", "$.eventName").alias("event_name")
+    name = F.try_variant_get("record", "$.eventName", "string").alias("event_name")
     return records.select("topic", "partition", "offset", "record_no", name)
 
 

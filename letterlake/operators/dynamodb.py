@@ -35,11 +35,11 @@ ITEM = strings(
 
 
 def stream_records(topic: DataFrame) -> DataFrame:
-    """One row per entry of ``Records``, numbered within its topic record."""
+    """One row per entry of ``Records``, numbered within its topic record; ``record`` is a variant."""
     batches = parse_object(
         topic.where(F.col("value").isNotNull()),
         "value",
-        T.StructType([T.StructField("Records", T.ArrayType(T.StringType()))]),
+        T.StructType([T.StructField("Records", T.ArrayType(T.VariantType()))]),
         list(COORDINATES),
     )
     return batches.select(*COORDINATES, F.posexplode("Records").alias("record_no", "record"))
@@ -47,43 +47,43 @@ def stream_records(topic: DataFrame) -> DataFrame:
 
 def new_images(records: DataFrame) -> DataFrame:
     """The ``NewImage`` of each record; records without one (removals) and empty ones are skipped."""
-    image = F.get_json_object("record", "$.dynamodb.NewImage")
+    image = F.try_variant_get(F.col("record"), "$.dynamodb.NewImage", "variant")
     images = records.select(*COORDINATES, "record_no", F.explode(F.array(image)).alias("image"))
-    return images.where(F.col("image").isNotNull() & (F.col("image") != "{}"))
+    attributes = F.try_variant_get(F.col("image"), "$", "map<string, variant>")
+    return images.where(F.size(attributes) > 0)
 
 
-def attribute(text: Column, kind: T.DataType) -> Column:
-    """A tagged attribute (JSON text) as a value of the declared type.
+def attribute(image: Column, path: str, kind: T.DataType) -> Column:
+    """The tagged attribute at ``path`` of a variant as a value of the declared type.
 
     Text keeps the digits of a number. Maps and lists unfold by the declared struct and array
     types; an attribute under an unknown tag passes through as its JSON text.
     """
     if isinstance(kind, T.StructType):
-        members = F.get_json_object(text, "$.M")
+        members = f"{path}.M"
         fields = [
-            attribute(F.get_json_object(members, f"$.{field.name}"), field.dataType).alias(field.name)
+            attribute(image, f"{members}.{field.name}", field.dataType).alias(field.name)
             for field in kind.fields
         ]
-        return F.when(members.isNotNull(), F.struct(*fields))
+        return F.when(F.try_variant_get(image, members, "variant").isNotNull(), F.struct(*fields))
     if isinstance(kind, T.ArrayType):
-        items = F.from_json(F.get_json_object(text, "$.L"), T.ArrayType(T.StringType()))
-        return F.transform(items, lambda item: attribute(item, kind.elementType))
-    scalar = F.coalesce(*[F.get_json_object(text, f"$.{tag}") for tag in SCALAR_TAGS])
-    known = F.arrays_overlap(
-        F.json_object_keys(text), F.array(*[F.lit(tag) for tag in (*SCALAR_TAGS, "NULL")])
-    )
-    value = F.when(known, scalar).otherwise(text)
+        items = F.try_variant_get(image, f"{path}.L", "array<variant>")
+        return F.transform(items, lambda item: attribute(item, "$", kind.elementType))
+    scalars = [F.try_variant_get(image, f"{path}.{tag}", "string") for tag in SCALAR_TAGS]
+    is_null = F.try_variant_get(image, f"{path}.NULL", "boolean").isNotNull()
+    value = F.coalesce(*scalars, F.when(~is_null, F.try_variant_get(image, path, "string")))
     return value if isinstance(kind, T.StringType) else value.try_cast(kind)
 
 
 def unmarshal(images: DataFrame, schema: T.StructType, image: str = "image") -> DataFrame:
     """Adds a column per schema field, read from the attribute image."""
-    attributes = strings(*[field.name for field in schema.fields])
-    keep = list(images.columns)
-    raw = parse_object(images, image, attributes, keep).drop("_corrupt")
-    return raw.withColumns(
-        {field.name: attribute(F.col(field.name), field.dataType) for field in schema.fields}
+    item = F.struct(
+        *[
+            attribute(F.col(image), f"$.{field.name}", field.dataType).alias(field.name)
+            for field in schema.fields
+        ]
     )
+    return images.select("*", F.inline(F.array(item)))
 
 
 def ddb_to_operational(topic: DataFrame, processing_time: str) -> DataFrame:

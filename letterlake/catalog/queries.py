@@ -795,17 +795,17 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_dim_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_version(spark, f"{_land_stream(spark, sf_dir)}/dim_customer_tenant")
+    return landing_stream.refreshed_table(spark, _land_stream(spark, sf_dir), "dim_customer_tenant")
 
 
 @query
 def stream_dim_event_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_version(spark, f"{_land_stream(spark, sf_dir)}/dim_customer_event_type")
+    return landing_stream.refreshed_table(spark, _land_stream(spark, sf_dir), "dim_customer_event_type")
 
 
 @query
 def stream_daily_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.read_version(spark, f"{_land_stream(spark, sf_dir)}/fct_daily_customer_delivery")
+    return landing_stream.refreshed_table(spark, _land_stream(spark, sf_dir), "fct_daily_customer_delivery")
 
 
 def _route_stream(spark: SparkSession, sf_dir: str, topic: topics.Topic) -> DataFrame:

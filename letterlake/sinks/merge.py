@@ -34,6 +34,9 @@ class MergeTable:
         """Stores the batch, merged within itself; a replay replaces the earlier attempt."""
         write_batch(self.merge(batch), self.batches, batch_id)
 
+    def added(self, batch_id: int) -> DataFrame:
+        return self.spark.read.parquet(self.batches).where(F.col("batch_id") == batch_id)
+
     def current(self, up_to: int | None = None) -> DataFrame:
         rows = self.spark.read.parquet(self.batches)
         if up_to is not None:

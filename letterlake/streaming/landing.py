@@ -5,7 +5,8 @@ Below the root folder:
 ``landing/event_date=/batch_id=``    good events, one row per event id
 ``dead_letters/batch_id=``           what could not land
 ``activity/``                        the batches' rollups (counts and first/last times per key)
-``dim_customer_tenant/v=`` etc.      refreshed tables; readers see the last complete version
+``dim_customer_*/v=``                refreshed dimensions; readers see the last complete version
+``fct_daily_customer_delivery/``     the refreshed daily fact, a folder per day
 
 Every write of a batch replaces what an earlier attempt of the same batch wrote, so a batch that is
 run again after a failure changes nothing. Refreshing reads the batch rollups, never the events.
@@ -28,23 +29,25 @@ from letterlake.operators.decode import (
     with_times,
 )
 from letterlake.operators.latest import first_by
-from letterlake.schemas import ENVELOPE_FIELDS, LANDING
+from letterlake.schemas import ENVELOPE_FIELDS, FCT_DAILY_DELIVERY, LANDING
 from letterlake.sinks.merge import MergeTable
 from letterlake.sinks.tables import (
     drop_versions,
     overwrite_version,
     path_exists,
+    read_version,
     write_batch,
 )
 
 ACTIVITY_KEYS = ("tenant_id", "event_type", "event_date")
 
 # What is kept up to date: table name to the function of the activity that gives it.
-REFRESHED = {
+DIMENSIONS = {
     "dim_customer_tenant": activity.tenant_dimension,
     "dim_customer_event_type": activity.event_type_dimension,
-    "fct_daily_customer_delivery": activity.daily_delivery_fact,
 }
+FACT = "fct_daily_customer_delivery"
+REFRESHED = {**DIMENSIONS, FACT: activity.daily_delivery_fact}
 
 
 def landing_table(spark: SparkSession, root: str) -> DataFrame:
@@ -64,8 +67,10 @@ def _not_landed_before(
 ) -> DataFrame:
     """Drops events an earlier batch has landed.
 
-    Reads the id column of the landing table alone. With ``same_day`` it reads only the partitions
-    between the batch's first and last day: enough where a redelivered event keeps its event time.
+    The landed ids that the batch holds are looked up first: that reads one column of the landing
+    table and, as the batch is the small side, shuffles none of it. With ``same_day`` only the
+    partitions between the batch's first and last day are read, which is enough where a redelivered
+    event keeps its event time.
     """
     path = f"{root}/landing"
     if not path_exists(spark, path):
@@ -75,7 +80,9 @@ def _not_landed_before(
         low, high = events.agg(F.min("event_date"), F.max("event_date")).first()
         undated = F.col("event_date").isNull()
         landed = landed.where(undated | F.col("event_date").between(F.lit(low), F.lit(high)))
-    return events.join(landed.select("event_id"), "event_id", "left_anti")
+    ids = events.select("event_id")
+    again = landed.select("event_id").join(ids, "event_id", "left_semi")
+    return events.join(again, "event_id", "left_anti")
 
 
 def land_batch(
@@ -92,15 +99,18 @@ def land_batch(
     if batch.isEmpty():
         return
     parsed = parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
+    first = _first_deliveries(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+    events = _not_landed_before(spark, first, root, batch_id, same_day).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    table = activity_table(spark, root)
     try:
-        events = _not_landed_before(spark, _first_deliveries(parsed), root, batch_id, same_day)
         write_batch(events, f"{root}/landing", batch_id, "event_date")
         write_batch(utc_wall_clock(dead_letters(parsed)), f"{root}/dead_letters", batch_id)
+        table.add(events, batch_id)
     finally:
-        parsed.unpersist()
-    landed = spark.read.parquet(f"{root}/landing").where(F.col("batch_id") == batch_id)
-    table = activity_table(spark, root)
-    table.add(landed, batch_id)
+        for kept in (events, first, parsed):
+            kept.unpersist()
     if refresh:
         refresh_tables(spark, root, batch_id)
     if compact_every and batch_id and batch_id % compact_every == 0:
@@ -115,11 +125,32 @@ def activity_table(spark: SparkSession, root: str) -> MergeTable:
 
 
 def refresh_tables(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Dimensions and daily fact as of ``batch_id``; equal to recomputing them from all events."""
-    rollup = activity_table(spark, root).current(batch_id)
-    for name, build in REFRESHED.items():
+    """Dimensions and daily fact as of ``batch_id``; equal to recomputing them from all events.
+
+    The dimensions are small and written whole. Of the fact only the days the batch has rows of are
+    written, from the rollups of those days.
+    """
+    table = activity_table(spark, root)
+    rollup = table.current(batch_id)
+    for name, build in DIMENSIONS.items():
         overwrite_version(build(rollup), f"{root}/{name}", batch_id)
         drop_versions(spark, f"{root}/{name}")
+    days = table.added(batch_id).select("event_date").distinct()
+    fact = activity.daily_delivery_fact(rollup.join(days, "event_date", "left_semi"))
+    (
+        fact.hint("rebalance", "event_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("event_date")
+        .parquet(f"{root}/{FACT}")
+    )
+
+
+def refreshed_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    if name == FACT:
+        columns = FCT_DAILY_DELIVERY.fieldNames()
+        return spark.read.schema(FCT_DAILY_DELIVERY).parquet(f"{root}/{FACT}").select(*columns)
+    return read_version(spark, f"{root}/{name}")
 
 
 def start_landing(

@@ -531,3 +531,18 @@ def test_taxonomy(spark):
     df = spark.createDataFrame([("mail.opened",), ("mail.retry_scheduled",), ("mail.other",), (None,)], "event_type string")
     got = [(r.event_family, r.lifecycle_stage) for r in lifecycle.classify(df).collect()]
     assert got == [("engagement", 7), ("dispatch", None), (None, None), (None, None)]
+
+
+def test_declared_tables(spark):
+    from letterlake.sources import lakehouse
+
+    lakehouse.create_tables(spark, "lake")
+    lakehouse.create_tables(spark, "lake")
+    try:
+        for name, schema in lakehouse.SOURCE_TABLES.items():
+            stored = lakehouse.source_table(spark, name, catalog="lake")
+            assert stored.columns == schema.fieldNames() and stored.count() == 0
+        layout = spark.sql("describe lake.landing_events").collect()
+        assert any(r.col_name == "# Partition Information" for r in layout)
+    finally:
+        spark.sql("drop namespace lake cascade")

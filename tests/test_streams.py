@@ -42,7 +42,7 @@ def recomputed(spark, root):
 
 def assert_refreshed(spark, root):
     for name, full in recomputed(spark, root).items():
-        assert same(tables.read_version(spark, f"{root}/{name}"), full), name
+        assert same(landing.refreshed_table(spark, root, name), full), name
 
 
 def run(topic, root, checkpoint, **options):

@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from letterlake.functions.sizes import broadcast_if_small
 from letterlake.operators.latest import first_by
 from letterlake.sinks.tables import drop_partition, path_exists
 
@@ -42,7 +43,7 @@ def upsert_table(
 def _rewrite_touched(
     spark: SparkSession, path: str, incoming: DataFrame, key: str, partition: str
 ) -> None:
-    keys = incoming.select(key)
+    keys = broadcast_if_small(incoming.select(key))
     existing = spark.read.parquet(path)
     leaving = existing.select(key, partition).join(keys, key, "left_semi").select(partition).distinct()
     arriving = incoming.select(partition).distinct()

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from letterlake.operators import activity, quality
 from letterlake.operators.staging import stage_events
 from letterlake.plans import marts
+from letterlake.sinks.tables import overwrite_version, read_version
 from letterlake.sources import lakehouse
 
 
@@ -44,11 +45,23 @@ def mart_relations(rollup: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def _stored(spark: SparkSession, df: DataFrame, path: str, version: int) -> DataFrame:
+    overwrite_version(df, path, version)
+    return read_version(spark, path, at_most=version)
+
+
+def register_views(relations: dict[str, DataFrame]) -> None:
+    """Makes relations queryable by name in SQL."""
+    for name, df in relations.items():
+        df.createOrReplaceTempView(name)
+
+
 def build_semantic_layer(
     spark: SparkSession,
     landing: DataFrame,
     root: str,
     *,
+    version: int = 0,
     gate: bool = False,
     only: tuple[str, ...] | None = None,
 ) -> dict[str, DataFrame]:
@@ -57,20 +70,19 @@ def build_semantic_layer(
     The landing table is read and its payloads are parsed once, for the rollup. The rollup is a
     stored table, not a cached one: losing executors while the marts are written costs no second pass.
 
+    Each build is a ``version``; readers of an earlier one are not disturbed.
+
     With ``gate`` the layers build in order and stop at the first failing check: no mart is written
     from sources that break their expectations.
     """
-    rollup_path = f"{root}/activity_rollup"
-    rollup_of(landing).write.mode("overwrite").parquet(rollup_path)
-    rollup = spark.read.parquet(rollup_path)
+    rollup = _stored(spark, rollup_of(landing), f"{root}/activity_rollup", version)
     if gate:
         quality.require(source_relations(landing, rollup), quality.SOURCE_CHECKS)
     built = {}
     for name, mart in mart_relations(rollup).items():
         if only and name not in only:
             continue
-        mart.write.mode("overwrite").parquet(f"{root}/{name}")
-        built[name] = spark.read.parquet(f"{root}/{name}")
+        built[name] = _stored(spark, mart, f"{root}/{name}", version)
     if gate:
         quality.require(built, quality.MART_CHECKS)
     return built

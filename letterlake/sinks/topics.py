@@ -9,12 +9,14 @@ from letterlake.sinks.tables import write_batch
 from letterlake.sources.topics import Topic
 
 
-def in_key_order(pairs: DataFrame, topic: Topic) -> DataFrame:
-    """Rows of a key in one task, as the topic keeps them in one partition.
+def in_key_order(pairs: DataFrame, topic: Topic, *order: str) -> DataFrame:
+    """Rows sorted by key and ``order``, for consumers that need a key's records one after another.
 
-    Only for consumers that need the order per key; Kafka does this itself by the record key.
+    The sort ranges are cut by key and order together: a key with very many records continues in
+    the next task instead of filling one. Kafka needs none of this; it places records by their key.
     """
-    return pairs.repartition(topic.partitions, "key")
+    columns = ["key", *order]
+    return pairs.repartitionByRange(topic.partitions, *columns).sortWithinPartitions(*columns)
 
 
 def publish(pairs: DataFrame, topic: Topic, batch_id: int, *, servers: str | None = None, path: str | None = None) -> None:

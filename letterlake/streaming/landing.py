@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from letterlake.functions.sizes import broadcast_if_small
 from letterlake.operators import activity
 from letterlake.operators.decode import (
     COORDINATES,
@@ -68,7 +69,8 @@ def _not_landed_before(
     """Drops events an earlier batch has landed.
 
     The landed ids that the batch holds are looked up first: that reads one column of the landing
-    table and, as the batch is the small side, shuffles none of it. With ``same_day`` only the
+    table and, while the batch's ids are few enough to broadcast, shuffles none of it. ``events``
+    must be kept, as they are measured and used twice. With ``same_day`` only the
     partitions between the batch's first and last day are read, which is enough where a redelivered
     event keeps its event time.
     """
@@ -80,7 +82,7 @@ def _not_landed_before(
         low, high = events.agg(F.min("event_date"), F.max("event_date")).first()
         undated = F.col("event_date").isNull()
         landed = landed.where(undated | F.col("event_date").between(F.lit(low), F.lit(high)))
-    ids = events.select("event_id")
+    ids = broadcast_if_small(events.select("event_id"))
     again = landed.select("event_id").join(ids, "event_id", "left_semi")
     return events.join(again, "event_id", "left_anti")
 

@@ -1,4 +1,4 @@
-"""The two routing streams, and streaming counterparts of dedup and volume."""
+"""The streams between topics, and streaming counterparts of dedup and volume."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from letterlake.operators import operational, routing
+from letterlake.functions.text import CORRUPT
+from letterlake.operators import cdc, dynamodb, operational, routing
 from letterlake.operators.decode import (
     dead_letters,
     keyed,
@@ -19,7 +20,16 @@ from letterlake.operators.decode import (
 )
 from letterlake.sinks.tables import write_batch
 from letterlake.sinks.topics import publish
-from letterlake.sources.topics import CUSTOMER, DASHBOARD, HEALTH, INTERNAL
+from letterlake.sources.topics import (
+    CUSTOMER,
+    DASHBOARD,
+    HEALTH,
+    INTERNAL,
+    NORMALIZED,
+    OPERATIONAL,
+    RAW,
+    Topic,
+)
 
 
 def utc_now() -> str:
@@ -98,6 +108,70 @@ def start_operational_router(
     return _start(topic.writeStream.foreachBatch(process), checkpoint, once)
 
 
+def start_normalizer(
+    topic: DataFrame, root: str, checkpoint: str, *, servers: str | None = None, once: bool = False
+) -> StreamingQuery:
+    """Publishes normalised events, and the narrow customer and internal projections of them."""
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        parsed = parse_envelopes(batch).where(F.col(CORRUPT).isNull())
+        normalized = routing.normalize_lifecycle(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+        outputs = {
+            NORMALIZED: normalized,
+            CUSTOMER: routing.customer_projection(normalized),
+            INTERNAL: routing.internal_projection(normalized),
+        }
+        try:
+            for target, rows in outputs.items():
+                pairs = keyed(rows, target.key, F.to_json(F.struct("*")))
+                publish(pairs, target, batch_id, servers=servers, path=f"{root}/{target.name}")
+        finally:
+            normalized.unpersist()
+
+    return _start(topic.writeStream.foreachBatch(process), checkpoint, once)
+
+
+def _start_producer(
+    events: DataFrame, target: Topic, root: str, checkpoint: str, servers: str | None, once: bool
+) -> StreamingQuery:
+    pairs = keyed(events, target.key, F.to_json(F.struct("*")))
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        publish(batch, target, batch_id, servers=servers, path=f"{root}/{target.name}")
+
+    return _start(pairs.writeStream.foreachBatch(process), checkpoint, once)
+
+
+def start_change_producer(
+    changes: DataFrame,
+    root: str,
+    checkpoint: str,
+    processing_time: str,
+    *,
+    servers: str | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """Publishes database changes as canonical events to the raw lifecycle topic."""
+    events = cdc.cdc_to_canonical(changes, processing_time)
+    return _start_producer(events, RAW, root, checkpoint, servers, once)
+
+
+def start_attribute_producer(
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    processing_time: str,
+    *,
+    servers: str | None = None,
+    once: bool = False,
+) -> StreamingQuery:
+    """Publishes key-value store changes as operational events to the operational topic."""
+    events = dynamodb.ddb_to_operational(records, processing_time)
+    return _start_producer(events, OPERATIONAL, root, checkpoint, servers, once)
+
+
 def dedup_stream(events: DataFrame, delay: str = "1 hour") -> DataFrame:
     """First delivery of each event id within the watermark delay.
 

@@ -381,6 +381,11 @@ def test_seed_golden(spark, folder):
     templates = {(r.template_id, r.template_name, r.template_channel) for r in built["template_performance"].collect()}
     assert templates == {("tpl-a", "Welcome A", "email"), ("tpl-b", "Retention B", "email")}
     assert built["reporting_dimensions"].count() == 8
+    semantic.register_views(built)
+    assert one(spark.sql("select sum(tenant_total_events) from customer_tenant"))[0] == 6
+    again = semantic.build_semantic_layer(spark, events.limit(3), folder, version=1, only=("event_type",))
+    assert again["event_type"].agg(F.sum("total_events")).first()[0] == 3
+    assert built["event_type"].agg(F.sum("total_events")).first()[0] == 6
     states = {r.message_id: r.event_type for r in latest.first_by(
         events, ("message_id",), [F.col("event_ts").desc()]).collect()}
     assert states == {"msg-1001": "mail.opened", "msg-2001": "mail.clicked"}

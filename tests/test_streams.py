@@ -234,3 +234,61 @@ def test_rollup_gives_what_the_events_give(spark, topic_of):
     rollup = activity.activity_rollup(events, landing.ACTIVITY_KEYS)
     for build in landing.REFRESHED.values():
         assert same(build(events), build(rollup))
+
+
+def test_key_order_splits_a_hot_key(spark):
+    from letterlake.sinks.topics import in_key_order
+
+    rows = spark.range(2000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("key"),
+        F.col("id").alias("offset"),
+    )
+    ordered = in_key_order(rows, topics.RAW, "offset").withColumn("task", F.spark_partition_id())
+    got = [(r.key, r.offset) for r in ordered.collect()]
+    assert got == sorted(got) and len(got) == 2000
+    assert ordered.where("key = 'hot'").select("task").distinct().count() > 1
+
+
+def test_broadcast_only_below_the_bound(spark):
+    from letterlake.functions.sizes import broadcast_if_small
+
+    keys = spark.range(100).select(F.col("id").cast("string").alias("k"))
+
+    def hinted(df):
+        return "strategy=broadcast" in spark.range(1).select(F.lit("1").alias("k")).join(
+            df, "k"
+        )._jdf.queryExecution().analyzed().toString()
+
+    assert hinted(broadcast_if_small(keys))
+    assert not hinted(broadcast_if_small(keys, limit=100))
+    assert hinted(broadcast_if_small(keys.where("false")))
+
+
+def test_producers_and_normalizer_chain(spark, topic_of, tmp_path):
+    """Changes become raw events, raw events normalised ones and their projections."""
+    from .test_semantics import change, images
+
+    root = str(tmp_path / "root")
+    topic_of(change(), "broken").coalesce(1).write.parquet(str(tmp_path / "changes"))
+    topic_of(images({"message_id": {"S": "m"}})).coalesce(1).write.parquet(str(tmp_path / "items"))
+    changes = topics.read_topic_table(spark, str(tmp_path / "changes"), streaming=True)
+    items = topics.read_topic_table(spark, str(tmp_path / "items"), streaming=True)
+    routers.start_change_producer(changes, root, str(tmp_path / "c1"), NOW, once=True).awaitTermination()
+    routers.start_attribute_producer(items, root, str(tmp_path / "c2"), NOW, once=True).awaitTermination()
+
+    def published(topic):
+        return [(r.key, json.loads(r.value)) for r in spark.read.parquet(f"{root}/{topic.name}").collect()]
+
+    ((key, raw),) = published(topics.RAW)
+    assert key == "m" and raw["event_type"] == "mail.requested" and raw["correlation_id"] == "x"
+    ((key, operational),) = published(topics.OPERATIONAL)
+    assert key == "m" and operational["status"] == "unknown"
+
+    topic_of(json.dumps(raw)).coalesce(1).write.parquet(str(tmp_path / "raw"))
+    records = topics.read_topic_table(spark, str(tmp_path / "raw"), streaming=True)
+    routers.start_normalizer(records, root, str(tmp_path / "c3"), once=True).awaitTermination()
+    ((key, normalized),) = published(topics.NORMALIZED)
+    assert key == "m" and normalized["event_id"] == raw["event_id"]
+    ((key, customer),) = published(topics.CUSTOMER)
+    assert key == "t" and set(customer) == {"tenant_id", "message_id", "event_type", "event_time", "payload"}
+    assert "correlation_id" in published(topics.INTERNAL)[0][1]

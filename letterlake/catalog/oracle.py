@@ -691,7 +691,8 @@ QUERIES = {
     "operational_dead_letters": """select value as raw_payload, topic as kafka_topic, partition as kafka_partition,
         "offset" as kafka_offset, "timestamp" as kafka_timestamp,
         case when doc is null then 'not_json_object' else 'malformed_payload' end as reason
-        from ops_parsed where doc is null or details is null""",
+        from ops_parsed where doc is null
+            or (details is null and coalesce(trim(doc->>'$.message_id'), '') <> '')""",
     "internal_union": """select event_id, event_type, tenant_id, message_id, correlation_id, status, processing_stage, payload
         from (select event_id, event_type, tenant_id, message_id, correlation_id, null as status,
                 null as processing_stage, payload from normalized

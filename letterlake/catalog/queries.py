@@ -157,10 +157,8 @@ def land_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dead_letter_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, bad = decode.split_dead_letters(inputs.lifecycle_topic(spark, sf_dir))
-    return good.select(F.lit("landing").alias("target")).unionAll(bad.select("reason")).groupBy(
-        "target"
-    ).agg(F.count("*").alias("records"))
+    target = F.coalesce(decode.rejection(), F.lit("landing")).alias("target")
+    return parsed(spark, sf_dir).groupBy(target).agg(F.count("*").alias("records"))
 
 
 @query

@@ -44,7 +44,10 @@ def parse_operational(topic: DataFrame) -> DataFrame:
 
 
 def rejection() -> Column:
-    unreadable = ~is_blank(F.col("payload_json")) & F.col("details").isNull()
+    """Why a record cannot be enriched; one without a message is dropped, whatever its payload."""
+    unreadable = (
+        ~is_blank(F.col("message_id")) & ~is_blank(F.col("payload_json")) & F.col("details").isNull()
+    )
     return F.when(F.col(CORRUPT).isNotNull(), F.lit("not_json_object")).when(
         unreadable, F.lit("malformed_payload")
     )

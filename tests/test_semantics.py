@@ -291,6 +291,7 @@ def test_operational_defaults(spark, topic_of):
         json.dumps({"message_id": "m", "payload_json": "{broken"}),
         json.dumps({"message_id": "m", "payload_json": ""}),
         "broken",
+        json.dumps({"message_id": "", "payload_json": "{broken"}),
     )
     rows = operational.ops_enrich(topic, NOW).collect()
     assert [r.status for r in rows] == ["sent", "", "unknown", "unknown"]
@@ -551,3 +552,33 @@ def test_declared_tables(spark):
         assert any(r.col_name == "# Partition Information" for r in layout)
     finally:
         spark.sql("drop namespace lake cascade")
+
+
+def test_hot_keys_against_brute_force(spark):
+    """A third of all rows on one message, one tenant, one event id."""
+    from collections import Counter
+
+    rows = []
+    for n in range(3000):
+        hot = n % 3 == 0
+        at = dt.datetime(2024, 1, 1) + dt.timedelta(seconds=(n * 7919) % 3000)
+        rows.append(
+            ("hot" if hot else f"e{n}", "mail.opened", "hot" if hot else f"t{n % 50}",
+             "hot" if hot else f"m{n % 100}", "c", "p", at, at, f"s{n}", None)
+        )
+    fact = spark.createDataFrame(rows, schemas.FCT_MAIL_LIFECYCLE).repartition(8)
+
+    newest = {}
+    for r in rows:
+        key = (r[6], r[7], r[0], r[8])
+        if r[3] not in newest or key[:3] > newest[r[3]][:3]:
+            newest[r[3]] = key
+    got = {r.message_id: r.latest_event_time for r in latest.latest_per_message(fact).collect()}
+    assert got == {message: key[0] for message, key in newest.items()}
+
+    unique = marts.fct_mail_lifecycle(fact.limit(0), fact)
+    assert unique.count() == len({r[0] for r in rows})
+    top = dashboards.top_terms(fact, "tenant_id", 1).first()
+    assert tuple(top) == Counter(r[2] for r in rows).most_common(1)[0]
+    history = [(r.message_id, r.event_time, r.event_id) for r in lifecycle.audit_history(fact).collect()]
+    assert history == sorted((r[3], r[6], r[0]) for r in rows)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from letterlake.llm import exact_dedup, packing
+from letterlake.llm import exact_dedup, ngram_join, packing
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
 }
 ORACLE_SQL = {"op5_exact_dedup": exact_dedup.ORACLE}

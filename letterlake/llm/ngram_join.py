@@ -190,15 +190,17 @@ def ngram_components(
     """
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = kept(_signatures(docs, n, percent, sketch_bits), "signatures")
+    worded = rows.where("size > 0")
+    # Prefixes go to the groups alone and bitmaps to the classes alone.
     classes = kept(
-        rows.where("size > 0")
-        .groupBy("digest")
-        .agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("size", "prefix_digest", "prefix", "bitmap")])
+        worded.groupBy("digest")
+        .agg(F.min("doc_id").alias("first_doc"), *[F.first(c).alias(c) for c in ("size", "prefix_digest", "bitmap")])
         .withColumn("cls", F.monotonically_increasing_id()),
         "classes",
     )
-    members = classes.groupBy("prefix_digest").agg(F.min("cls").alias("grp"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
-    groups = kept(members, "groups")
+    leaders = classes.groupBy("prefix_digest").agg(F.min("cls").alias("grp"))
+    prefixes = worded.groupBy("prefix_digest").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    groups = kept(prefixes.join(leaders, "prefix_digest"), "groups")
     listed = groups.select("grp", "size", F.posexplode("prefix").alias("place", "shingle"))
     # A list of one group pairs nothing; dropping those first leaves the few that matter.
     shared = kept(listed.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1"), "shared")

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from letterlake.llm import decontamination, exact_dedup, ngram_join, packing, quality
+from letterlake.llm import decontamination, exact_dedup, ngram_join, packing, pii, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op7_pii": pii.op7_pii,
     "op8_quality_classifier": quality.op8_quality_classifier,
 }
 ORACLE_SQL = {"op4_benchmark_decontamination": decontamination.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

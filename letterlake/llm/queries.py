@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from letterlake.llm import decontamination, exact_dedup, html_extraction, ngram_join, packing, pii, quality
+from letterlake.llm import decontamination, exact_dedup, html_extraction, language, ngram_join, packing, pii, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -12,5 +12,6 @@ QUERIES = {
     "op7_pii": pii.op7_pii,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_html_extraction": html_extraction.op9_html_extraction,
+    "op10_language_id": language.op10_language_id,
 }
 ORACLE_SQL = {"op4_benchmark_decontamination": decontamination.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from letterlake.llm import decontamination, exact_dedup, html_extraction, language, ngram_join, packing, pii, quality
+from letterlake.llm import decontamination, exact_dedup, html_extraction, language, licenses, ngram_join, packing, pii, quality
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_license_scans": licenses.op2_license_scans,
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,

@@ -33,4 +33,6 @@ def text_or_empty(text: str | Column) -> Column:
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is (``lower`` would change accented ones too)."""
     pairs = zip(ascii_uppercase, ascii_lowercase, strict=True)
-    return reduce(lambda value, pair: F.replace(value, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+    replaced = reduce(lambda value, pair: F.replace(value, F.lit(pair[0]), F.lit(pair[1])), pairs, text)
+    # On a text of ASCII alone the two are the same, and lower is one pass.
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(replaced)

@@ -19,34 +19,35 @@ from letterlake.functions.sizes import broadcast_if_small
 from letterlake.llm.common import kept, lower_ascii, table, text_or_empty
 
 WINDOW_WORDS = 10
-_SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _KEY = ["id_key", "text_key"]
 
 
 def _split(text: str | Column) -> Column:
-    """Words of a lower-cased text; the first and the last may be empty."""
-    return F.split(lower_ascii(text_or_empty(text)), _SEPARATORS)
+    """Words of a text, case as it is; the first and the last may be empty."""
+    return F.split(text_or_empty(text), _SEPARATORS)
 
 
 def words(text: str | Column) -> Column:
-    return F.filter(_split(text), lambda word: word != "")
+    return F.filter(_split(lower_ascii(text_or_empty(text))), lambda word: word != "")
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A key that tells rows apart unless both id and text are equal, and the words."""
+    """The texts with a key that tells rows apart unless both id and text are equal."""
     text = text_or_empty(text_col)
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))).alias("id_key"),
         F.xxhash64(text, F.col(id_col).isNull()).alias("text_key"),
-        _split(text).alias("words"),
+        text.alias("text"),
     )
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
     """One row per word: key, position from 0, term."""
+    split = docs.select(*_KEY, _split(lower_ascii(F.col("text"))).alias("words"))
     first_empty = (F.element_at("words", 1) == "").cast("int")
-    placed = docs.select(*_KEY, first_empty.alias("lead"), F.posexplode("words").alias("at", "term")).where("term <> ''")
+    placed = split.select(*_KEY, first_empty.alias("lead"), F.posexplode("words").alias("at", "term")).where("term <> ''")
     return placed.select(*_KEY, (F.col("at") - F.col("lead")).alias("place"), "term")
 
 
@@ -150,7 +151,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     named = matches.groupBy(*_KEY).agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     found = kept(hits.join(named, _KEY), "contaminated")
     size_of = F.size("words") - (F.element_at("words", 1) == "").cast("int") - ((F.element_at("words", -1) == "") & (F.size("words") > 1)).cast("int")
-    rows = keyed.select("doc_id", *_KEY, size_of.cast("bigint").alias("n_words"))
+    rows = keyed.select("doc_id", *_KEY, _split("text").alias("words")).select("doc_id", *_KEY, size_of.cast("bigint").alias("n_words"))
     items_found = F.coalesce("items", F.array().cast("array<string>"))
     return rows.join(found, _KEY, "left").select(
         "doc_id",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from letterlake.llm import decontamination, exact_dedup, html_extraction, language, licenses, ngram_join, packing, pii, quality
+from letterlake.llm import decontamination, exact_dedup, html_extraction, language, licenses, ngram_join, packing, pii, quality, repeats
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": ngram_join.op3_ngram_jaccard_join,
     "op4_benchmark_decontamination": decontamination.op4_benchmark_decontamination,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_suffix_array_dedup": repeats.op6_suffix_array_dedup,
     "op7_pii": pii.op7_pii,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_html_extraction": html_extraction.op9_html_extraction,

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
@@ -32,6 +32,9 @@ from letterlake.llm.components import components
 # The frequency table: this many counters, whatever the size of the corpus.
 SKETCH_BITS = 21
 _SKETCH_CHUNKS = 64
+# A counter is never less than the length of its shingles' lists. Lists proven shorter than this meet
+# in one window; the others are counted ahead of the join, which then can be split.
+LONG_LIST = 4096
 _BITMAP_WORDS = 16
 _REMEMBERED_WORDS = 300_000
 
@@ -115,7 +118,7 @@ def _signatures(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shift = table_.value, np.uint64(64 - bits)
         for batch, sets in _texts(batches, n):
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], [], [], [], []]
             for found in sets:
                 size = len(found)
                 rank = counts[found >> shift].astype(np.uint64) << np.uint64(40) | found >> np.uint64(24)
@@ -125,14 +128,15 @@ def _signatures(docs: DataFrame, n: int, percent: int, bits: int) -> DataFrame:
                 out[1].append(xxhash.xxh3_128_digest(found.tobytes()))
                 out[2].append(xxhash.xxh3_128_digest(size.to_bytes(8, "little") + prefix.tobytes()))
                 out[3].append(prefix.view(np.int64))
-                out[4].append(bitmap.view(np.int64))
+                out[4].append(int(np.count_nonzero(counts[prefix >> shift] < LONG_LIST)))
+                out[5].append(bitmap.view(np.int64))
             longs = pa.list_(pa.int64())
-            types = [pa.int64(), pa.binary(), pa.binary(), longs, longs]
+            types = [pa.int64(), pa.binary(), pa.binary(), longs, pa.int32(), longs]
             arrays = [pa.array(values, kind) for values, kind in zip(out, types, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["doc_id", "size", "digest", "prefix_digest", "prefix", "bitmap"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), *arrays], names=["doc_id", "size", "digest", "prefix_digest", "prefix", "short", "bitmap"])
 
     return docs.select("text", "doc_id").mapInArrow(
-        sign, "doc_id bigint, size bigint, digest binary, prefix_digest binary, prefix array<bigint>, bitmap array<bigint>"
+        sign, "doc_id bigint, size bigint, digest binary, prefix_digest binary, prefix array<bigint>, short int, bitmap array<bigint>"
     )
 
 
@@ -171,11 +175,14 @@ def _alike(shared: Column, total: Column, percent: int) -> Column:
     return shared * 100 >= (total - shared) * percent
 
 
+def _fits(size: Column, place: Column, size2: Column, place2: Column, percent: int) -> Column:
+    """Size and position bounds for two sets that share the shingle at these places of their prefixes."""
+    rest = F.least(size - place, size2 - place2)
+    return (F.least(size, size2) * 100 >= F.greatest(size, size2) * percent) & _alike(rest, size + size2, percent)
+
+
 def _compatible(a: str, b: str, percent: int) -> Column:
-    """Size and position bounds for two sets that share the shingle at ``place`` of their prefixes."""
-    sizes = [F.col(f"{a}.size"), F.col(f"{b}.size")]
-    rest = F.least(*[F.col(f"{x}.size") - F.col(f"{x}.place") for x in (a, b)])
-    return (F.least(*sizes) * 100 >= F.greatest(*sizes) * percent) & _alike(rest, sizes[0] + sizes[1], percent)
+    return _fits(*[F.col(f"{side}.{name}") for side in (a, b) for name in ("size", "place")], percent)
 
 
 def ngram_components(
@@ -199,12 +206,24 @@ def ngram_components(
         "classes",
     )
     leaders = classes.groupBy("prefix_digest").agg(F.min("cls").alias("grp"))
-    prefixes = worded.groupBy("prefix_digest").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    prefixes = worded.groupBy("prefix_digest").agg(F.first("size").alias("size"), F.first("prefix").alias("prefix"), F.first("short").alias("short"))
     groups = kept(prefixes.join(leaders, "prefix_digest"), "groups")
-    listed = groups.select("grp", "size", F.posexplode("prefix").alias("place", "shingle"))
-    # A list of one group pairs nothing; dropping those first leaves the few that matter.
-    shared = kept(listed.groupBy("shingle").agg(F.count("*").alias("length")).where("length > 1"), "shared")
-    lists = kept(listed.join(shared, "shingle"), "lists")
+    listed = groups.select("grp", "size", "short", F.posexplode("prefix").alias("place", "shingle"))
+    # A list of one group pairs nothing, nor does a row none of whose partners passes the bounds. The
+    # partners nearest in size are looked at; where there are more beyond them, only by size.
+    by_size = Window.partitionBy("shingle").orderBy("size")
+    row = F.struct("size", "place")
+    short = listed.where("place < short").withColumns(
+        {"lower": F.lag(row).over(by_size), "upper": F.lead(row).over(by_size), "more_lower": F.lag("size", 2).over(by_size), "more_upper": F.lead("size", 2).over(by_size)}
+    )
+    beyond = (F.col("more_lower").isNotNull() & (F.col("lower.size") * 100 >= F.col("size") * percent)) | (
+        F.col("more_upper").isNotNull() & (F.col("size") * 100 >= F.col("upper.size") * percent)
+    )
+    fits = [F.coalesce(_fits(F.col("size"), F.col("place"), F.col(f"{side}.size"), F.col(f"{side}.place"), percent), F.lit(False)) for side in ("lower", "upper")]
+    short = short.where(beyond | fits[0] | fits[1]).select("grp", "size", "place", "shingle")
+    long = listed.where("place >= short").select("grp", "size", "place", "shingle")
+    counted = kept(long.groupBy("shingle").count().where("count > 1").drop("count"), "long-lists")
+    lists = kept(short.unionByName(long.join(counted, "shingle")), "lists")
 
     # First pass: in each list, all to the group that has most of its prefix in common with others.
     known = lists.groupBy("grp").agg(F.count("*").alias("known"))
@@ -226,8 +245,7 @@ def ngram_components(
         by_class.join(found, by_class.cls == found.node, "left").select("cls", "grp", F.coalesce("component", "cls").alias("component")), "placed"
     )
     full = kept(
-        lists.drop("length")
-        .join(placed, "grp")
+        lists.join(placed, "grp")
         .select("shingle", "cls", "component", "size", "place"),
         "full-lists",
     )

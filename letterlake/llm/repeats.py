@@ -8,8 +8,9 @@ documents have matter, about a quarter of them in repetitive text.
 1. Triggers: which ones several documents have.
 2. Dictionary: their distinct phrases, each with its smallest document. An occurrence in a larger
    document goes as a whole, without a look at its strings.
-3. Where a trigger has several phrases, their suffixes of 50 bytes are put in order and those that
-   meet get the smallest document; this decides the edges of repeats.
+3. Where a trigger has several phrases, the 50-byte strings of these, each in its first document only,
+   are put in order, and those that meet get the smallest document: this decides the edges of repeats.
+   Strings whose smallest 35-byte hash one document alone has are sifted out before.
 
 The full suffix order of the corpus is not written down: only its neighbours at 50 bytes are asked
 for. Strings and phrases are compared by 64-bit hashes.
@@ -19,7 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from letterlake.llm.common import kept, table, text_or_empty
 
 LENGTH = 50
 TRIGGER = 20
+# The longer strings by which those at the edges of repeats are sifted.
+SIEVE = 35
 # Bits of the filters that say which triggers matter: 16 MB, whatever the corpus.
 FILTER_BITS = 27
 # A very long text is parsed in parts of this many strings.
@@ -65,13 +68,7 @@ class Part:
     def __init__(self, data: np.ndarray) -> None:
         self.n = len(data) - LENGTH + 1
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * _UP[: len(data)])])
-        grams = _mix(self._rolling(TRIGGER))
-        least, span, width = grams, 1, LENGTH - TRIGGER + 1
-        while span * 2 <= width:
-            least = np.minimum(least[:-span], least[span:])
-            span *= 2
-        if width > span:
-            least = np.minimum(least[: span - width], least[width - span :])
+        least = self.minima(TRIGGER)
         self.first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         self.count = np.diff(np.append(self.first, self.n))
         self.trigger = least[self.first]
@@ -79,6 +76,21 @@ class Part:
     def _rolling(self, width: int) -> np.ndarray:
         return (self.sums[width:] - self.sums[:-width]) * _DOWN[: len(self.sums) - width]
 
+    def minima(self, gram: int) -> np.ndarray:
+        """For each 50-byte string, the smallest hash of the shorter strings in it."""
+        least, span, width = _mix(self._rolling(gram)), 1, LENGTH - gram + 1
+        while span * 2 <= width:
+            least = np.minimum(least[:-span], least[span:])
+            span *= 2
+        return np.minimum(least[: span - width], least[width - span :]) if width > span else least
+
+    def inside(self, which: np.ndarray) -> np.ndarray:
+        """The places of the strings of some phrases."""
+        edges = np.zeros(self.n + 1, np.int64)
+        np.add.at(edges, self.first[which], 1)
+        np.add.at(edges, self.first[which] + self.count[which], -1)
+        return np.flatnonzero(np.cumsum(edges[:-1]))
+
     def phrases(self, which: np.ndarray) -> np.ndarray:
         first, end = self.first[which], self.first[which] + self.count[which] + LENGTH - 1
         return _mix((self.sums[end] - self.sums[first]) * _DOWN[first] + end.astype(np.uint64) - first.astype(np.uint64))
@@ -98,25 +110,26 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64, copy=False).view(np.int64)
 
 
-def _triggers(texts: DataFrame) -> DataFrame:
-    """(trigger, id_key): of each batch, a trigger's first and last document."""
+def _ends(texts: DataFrame, hashes: Callable[[Part, int], np.ndarray]) -> DataFrame:
+    """(hash, id_key): of what ``hashes`` gives for each part, a batch's first and last document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
             for key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                own = [np.unique(part.trigger) for _, part in parts(text)]
+                own = [np.unique(hashes(part, key)) for _, part in parts(text)]
                 found += own
                 owners += [np.full(len(x), key, np.int64) for x in own]
-            triggers, keys = np.concatenate(found), np.concatenate(owners)
-            order = np.lexsort((keys, triggers))
-            same = triggers[order][1:] == triggers[order][:-1]
+            values, keys = np.concatenate(found), np.concatenate(owners)
+            order = np.lexsort((keys, values))
+            same = values[order][1:] == values[order][:-1]
             ends = np.concatenate([[True], ~same]) | np.concatenate([~same, [True]]) if len(order) else np.zeros(0, bool)
             # In order of reading, in which ids compress well.
             order = np.sort(order[ends])
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(triggers[order])), pa.array(keys[order])], names=["trigger", "id_key"])
+            yield pa.RecordBatch.from_arrays([pa.array(_signed(values[order])), pa.array(keys[order])], names=["hash", "id_key"])
 
-    return texts.mapInArrow(run, "trigger bigint, id_key bigint")
+    ends = texts.mapInArrow(run, "hash bigint, id_key bigint").repartition("hash")
+    return ends.groupBy("hash").agg(F.min("id_key").alias("low"), F.max("id_key").alias("high")).where("low < high").select("hash")
 
 
 def _filter(values: DataFrame) -> np.ndarray:
@@ -169,34 +182,44 @@ def _occurrences(texts: DataFrame, bits: np.ndarray) -> DataFrame:
     return texts.mapInArrow(run, "trigger bigint, phrase bigint, id_key bigint, text_key bigint, first bigint, n bigint")
 
 
-def _strings(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """One row per 50-byte string under a marked trigger."""
-    shared = texts.sparkSession.sparkContext.broadcast(bits)
+def _edge(part: Part, key: int, bits: np.ndarray) -> np.ndarray:
+    """The places of the strings in phrases that this document is marked for as their first."""
+    return part.inside(_marked(bits, part.phrases(np.arange(len(part.first))) ^ np.uint64((key << 64 - FILTER_BITS) % 2**64)))
+
+
+def _strings(texts: DataFrame, phrase_bits: np.ndarray, sieve_bits: np.ndarray) -> DataFrame:
+    """One row per 50-byte string of a marked phrase that passes the sieve."""
+    shared = texts.sparkSession.sparkContext.broadcast((phrase_bits, sieve_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrase_bits, sieve_bits = shared.value
         for batch in batches:
+            out: list[list[np.ndarray]] = [[np.zeros(0, np.int64)] for _ in range(4)]
             for key, text_key, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 for at, part in parts(text):
-                    which = _marked(shared.value, part.trigger)
-                    inside = np.zeros(part.n + 1, np.int64)
-                    np.add.at(inside, part.first[which], 1)
-                    np.add.at(inside, part.first[which] + part.count[which], -1)
-                    places = np.flatnonzero(np.cumsum(inside[:-1]))
+                    places = _edge(part, key, phrase_bits)
                     if len(places):
+                        places = places[_marked(sieve_bits, part.minima(SIEVE)[places])]
                         row = (_signed(part.strings()[places]), np.full(len(places), key, np.int64), np.full(len(places), text_key, np.int64), places + at)
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in row], names=["string", *_KEY, "first"])
+                        for column, value in zip(out, row, strict=True):
+                            column.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], names=["string", *_KEY, "first"])
 
     return texts.mapInArrow(run, "string bigint, id_key bigint, text_key bigint, first bigint")
 
 
 def repeated_ranges(texts: DataFrame) -> DataFrame:
     """(key, first, n): runs of 50-byte strings that a document with a smaller id holds too."""
-    owners = _triggers(texts).repartition("trigger").groupBy("trigger").agg(F.min("id_key").alias("low"), F.max("id_key").alias("high"))
-    found = kept(_occurrences(texts, _filter(kept(owners.where("low < high").select("trigger"), "triggers"))), "phrases")
+    triggers = kept(_ends(texts, lambda part, key: part.trigger), "triggers")
+    found = kept(_occurrences(texts, _filter(triggers)), "phrases")
     dictionary = kept(found.groupBy("trigger", "phrase").agg(F.min("id_key").alias("low")), "dictionary")
     whole = found.drop("trigger").join(dictionary.select("phrase", "low"), "phrase").where("low < id_key").select(*_KEY, "first", "n")
     several = kept(dictionary.groupBy("trigger").count().where("count > 1").select("trigger"), "edge-triggers")
-    strings = kept(_strings(texts, _filter(several)), "strings")
+    firsts = dictionary.join(several, "trigger").select(F.col("phrase").bitwiseXOR(F.shiftleft("low", 64 - FILTER_BITS)).alias("mark"))
+    phrase_bits = _filter(firsts)
+    marks = texts.sparkSession.sparkContext.broadcast(phrase_bits)
+    sieve = _filter(kept(_ends(texts, lambda part, key: part.minima(SIEVE)[_edge(part, key, marks.value)]), "sieve"))
+    strings = kept(_strings(texts, phrase_bits, sieve), "strings")
     met = strings.groupBy("string").agg(F.min("id_key").alias("low"), F.max("id_key").alias("high")).where("low < high")
     lowest = kept(met.select("string", "low"), "met-strings")
     edges = strings.join(lowest, "string").where("low < id_key").select(*_KEY, "first", F.lit(1).cast("bigint").alias("n"))

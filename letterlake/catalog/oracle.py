@@ -702,8 +702,6 @@ QUERIES = {
     "stg_tenant": "select * from tenants",
     "stg_event_type": "select * from types",
     "stg_daily": "select * from daily",
-    "empty_contract": """select cast(null as varchar) as tenant_id, cast(null as varchar) as tenant_name,
-        cast(null as varchar) as tenant_tier, cast(null as timestamp) as tenant_created_at where 1 = 0""",
     "dim_tenant_activity": "select * from tenants",
     "dim_event_type": "select * from types",
     "fct_daily_delivery": "select * from daily",

@@ -330,12 +330,6 @@ def stg_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stage_daily_delivery(daily(spark, sf_dir))
 
 
-@query
-def empty_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    loaded = marts.dim_tenant(table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders"))
-    return marts.empty_relation(spark, loaded.schema)
-
-
 @query
 def dim_tenant_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tenants(spark, sf_dir)

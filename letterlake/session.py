@@ -34,12 +34,14 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    On a cluster it is the one named in ``spark.checkpoint.dir``. Only where that is unset (tests
-    on one machine) a temporary folder is taken and remembered for the session.
+    On a cluster it is the one named in ``spark.checkpoint.dir``, which must be set. Only on one machine
+    a temporary folder is taken instead and remembered for the session.
     """
     key = "spark.checkpoint.dir"
     folder = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{key} must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="letterlake-")
         spark.conf.set(key, folder)
     return folder

@@ -26,7 +26,6 @@ from letterlake.operators import (
     staging,
 )
 from letterlake.plans import marts, semantic
-from letterlake.sources import demo
 
 NOW = "2024-02-01 00:00:00"
 
@@ -358,52 +357,28 @@ def test_null_keys_do_not_enter_dimensions(spark):
     assert activity.daily_delivery_fact(rows).count() == 1
 
 
-def test_seed_golden(spark, folder):
-    events = demo.seed_events(spark)
-    nine = dt.datetime(2026, 3, 20, 9)
-    tenants = {tuple(r) for r in activity.tenant_dimension(events).collect()}
-    assert tenants == {
-        ("tenant-1", nine, nine.replace(minute=10), 3),
-        ("tenant-2", nine.replace(hour=10), nine.replace(hour=10, minute=12), 3),
-    }
+def test_layer_of_a_small_day(spark, folder):
+    offer = json.dumps({"campaign_id": "c7", "campaign_name": "Harvest", "template_id": "t3", "template_channel": "sms", "provider": "post"})
+    events = landing(
+        spark,
+        ("1", "north", "mail.requested", 60, offer),
+        ("2", "north", "mail.delivered", 90, offer),
+        ("3", "north", "mail.clicked", 95, offer),
+        ("4", "south", "mail.requested", 30, "{}"),
+    )
     built = semantic.build_semantic_layer(spark, events, folder, gate=True)
     summary = {
-        r.tenant_id: (r.requested_count, r.delivered_count, r.opened_count, r.clicked_count, r.open_rate,
-                      r.click_through_rate, r.delivery_success_rate, r.tenant_lifetime_events)
+        r.tenant_id: (r.requested_count, r.delivered_count, r.opened_count, r.clicked_count, r.delivery_success_rate, r.tenant_lifetime_events)
         for r in built["customer_delivery_summary"].collect()
     }
-    assert summary == {
-        "tenant-1": (1, 1, 1, 0, 1.0, 0.0, 1.0, 3),
-        "tenant-2": (1, 1, 0, 1, 0.0, 1.0, 1.0, 3),
-    }
-    campaigns = {(r.campaign_id, r.campaign_name, r.provider, r.campaign_total_events)
-                 for r in built["campaign_performance"].collect()}
-    assert campaigns == {("cmp-spring", "Spring Promo", "sendgrid", 3), ("cmp-retain", "Retention Flow", "ses", 3)}
-    templates = {(r.template_id, r.template_name, r.template_channel) for r in built["template_performance"].collect()}
-    assert templates == {("tpl-a", "Welcome A", "email"), ("tpl-b", "Retention B", "email")}
-    assert built["reporting_dimensions"].count() == 8
+    assert summary == {"north": (1, 1, 0, 1, 1.0, 3), "south": (1, 0, 0, 0, 0.0, 1)}
+    assert [(r.campaign_id, r.campaign_total_events) for r in built["campaign_performance"].collect()] == [("c7", 3)]
+    assert built["reporting_dimensions"].count() == 6
     semantic.register_views(built)
-    assert one(spark.sql("select sum(tenant_total_events) from customer_tenant"))[0] == 6
-    again = semantic.build_semantic_layer(spark, events.limit(3), folder, version=1, only=("event_type",))
+    assert one(spark.sql("select sum(tenant_total_events) from customer_tenant"))[0] == 4
+    again = semantic.build_semantic_layer(spark, events.where("event_id <> '4'"), folder, version=1, only=("event_type",))
     assert again["event_type"].agg(F.sum("total_events")).first()[0] == 3
-    assert built["event_type"].agg(F.sum("total_events")).first()[0] == 6
-    states = {r.message_id: r.event_type for r in latest.first_by(
-        events, ("message_id",), [F.col("event_ts").desc()]).collect()}
-    assert states == {"msg-1001": "mail.opened", "msg-2001": "mail.clicked"}
-
-
-def test_generator(spark):
-    events = demo.generate_events(spark, rows=1200)
-    assert events.count() == 1200
-    assert events.select("event_id").distinct().count() == 1200
-    assert events.select("tenant_id").distinct().count() == 80
-    assert events.exceptAll(demo.generate_events(spark, rows=1200)).isEmpty()
-    row = events.where("event_id = 'evt-00000001'").first()
-    payload = json.loads(row.payload)
-    assert events.columns == schemas.LANDING.fieldNames()
-    assert payload["campaign_name"] == "Cmp Spring Promo" and payload["status"] == "requested"
-    low, high = events.agg(F.min("event_ts"), F.max("event_ts")).first()
-    assert high <= dt.datetime(2026, 4, 1) and high - low <= dt.timedelta(days=45)
+    assert built["event_type"].agg(F.sum("total_events")).first()[0] == 4
 
 
 def test_unknown_time_never_wins_the_latest_state(spark):

@@ -36,7 +36,7 @@ _SKETCH_CHUNKS = 64
 # in one window; the others are counted ahead of the join, which then can be split.
 LONG_LIST = 4096
 _BITMAP_WORDS = 16
-_REMEMBERED_WORDS = 300_000
+_REMEMBERED_WORDS = 100_000
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 

@@ -28,11 +28,7 @@ class Encoder:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self._slow = Tokenizer.from_file(path)
-        self._slow.encode_special_tokens = True
-        self._fast = None
+        self._path, self._slow, self._fast = path, None, None
         ranks = Path(path).with_suffix(".tiktoken")
         if ranks.exists():
             import public_tokenizers
@@ -49,4 +45,9 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self._fast and _SHARED.fullmatch(text):
             return self._fast.encode_to_numpy(text, disallowed_special=())
+        if not self._slow:
+            from tokenizers import Tokenizer
+
+            self._slow = Tokenizer.from_file(self._path)
+            self._slow.encode_special_tokens = True
         return np.array(self._slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)

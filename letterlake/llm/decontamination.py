@@ -46,8 +46,9 @@ def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _occurrences(docs: DataFrame) -> DataFrame:
     """One row per word: key, position from 0, term."""
     split = docs.select(*_KEY, _split(lower_ascii(F.col("text"))).alias("words"))
+    # The outer form, as the plain one would have Spark split once more to drop empty arrays; there are none.
     first_empty = (F.element_at("words", 1) == "").cast("int")
-    placed = split.select(*_KEY, first_empty.alias("lead"), F.posexplode("words").alias("at", "term")).where("term <> ''")
+    placed = split.select(*_KEY, first_empty.alias("lead"), F.posexplode_outer("words").alias("at", "term")).where("term <> ''")
     return placed.select(*_KEY, (F.col("at") - F.col("lead")).alias("place"), "term")
 
 

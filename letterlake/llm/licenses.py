@@ -96,7 +96,7 @@ def license_matches(
     known = spark.createDataFrame(sorted(statements.items()), "license string, notice string")
     known = kept(known.select("license", _pairs(words("notice")).alias("asked")).where("size(asked) > 0"), "statements")
     text = text_or_empty(text_col)
-    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(text.rlike("(?i)" + "|".join(map(re.escape, key_words(statements, containment)))))
+    keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(text.rlike(f"(?i)(?<![a-z0-9])(?:{'|'.join(map(re.escape, key_words(statements, containment)))})(?![a-z0-9])"))
     split = keyed.select("doc_id", words("text").alias("words")).where("size(words) > 1")
     starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 2, F.lit(0)), F.lit(STRIDE_WORDS))
     windows = split.select("doc_id", "words", F.explode(starts).alias("first_word"))

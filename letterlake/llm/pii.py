@@ -34,10 +34,16 @@ MIN_SUPPORT = 5
 MIN_SCORE = 0.8
 
 _COMPILED = {kind: re.compile(pattern) for kind, pattern in PATTERNS.items()}
+# The same matches: one never begins within a run of digits, as its first part would take the whole run.
+_COMPILED["ip"] = re.compile(r"(?<![0-9])" + PATTERNS["ip"])
 # An email can only begin in the run of its own characters before an @.
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+")
-# What could be an identifier: a token with a digit, or with an @ in it, of six characters and more.
-_CANDIDATE = re.compile(r"(?=[^\s]*[0-9@])[A-Za-z0-9+(][A-Za-z0-9@._%+()\-]{4,}[A-Za-z0-9)]")
+# What could be an identifier: six characters and more of these, with a digit or an @ from there on in
+# the same unspaced text. Each pattern begins in one place of a run, so a run is read once, however long.
+_UNSPACED = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
+_TOKEN = re.compile(r"[A-Za-z0-9+(][A-Za-z0-9@._%+()\-]*")
+_NOT_LAST = "@._%+(-"
+_CANDIDATE_CHARS = 6
 
 
 def _digits(text: str) -> list[int]:
@@ -50,7 +56,7 @@ def luhn(digits: list[int]) -> bool:
 
 def _valid(kind: str, text: str) -> bool:
     if kind == "ip":
-        return all(len(part) <= 400 and int(part) <= 255 for part in text.split("."))
+        return all(int(part.lstrip("0")[:4] or 0) <= 255 for part in text.split("."))
     if kind == "card":
         digits = _digits(text)
         return 13 <= len(digits) <= 19 and luhn(digits)
@@ -196,13 +202,25 @@ def _all_mentions(text: str) -> list[tuple[str | None, int, int]]:
     taken = sorted((start, end) for _, start, end in spans)
     found: list[tuple[str | None, int, int]] = list(spans)
     i = 0
-    for match in _CANDIDATE.finditer(text):
-        while i < len(taken) and taken[i][1] <= match.start():
+    for start, end in _candidates(text):
+        while i < len(taken) and taken[i][1] <= start:
             i += 1
-        if i == len(taken) or taken[i][0] >= match.end():
-            found.append((None, *match.span()))
+        if i == len(taken) or taken[i][0] >= end:
+            found.append((None, start, end))
     return found
 
 
+def _candidates(text: str) -> Iterator[tuple[int, int]]:
+    for unspaced in _UNSPACED.finditer(text):
+        last = unspaced.end() - 1
+        while text[last] not in "0123456789@":
+            last -= 1
+        for token in _TOKEN.finditer(text, *unspaced.span()):
+            start = token.start()
+            length = len(token.group().rstrip(_NOT_LAST))
+            if length >= _CANDIDATE_CHARS and start <= last:
+                yield start, start + length
+
+
 def op7_pii(spark, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))

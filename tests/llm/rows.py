@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from letterlake.llm.common import kept
+
 CLASHING = (
     "_id", "_sha", "_n", "_kept_sha", "_text", "_row_id", "_row_text", "row", "name", "normal", "id_key", "text_key",
     "data", "key", "size", "hash", "n", "words", "low", "start", "end", "kind", "term", "place", "group_size", "kept",
@@ -48,20 +50,25 @@ def with_clashing(rows):
     return rows.withColumns({name: F.lit(f"own {name}") for name in CLASHING})
 
 
+def _stored(spark, rows, schema):
+    """As files: over local rows the optimizer would run each expression itself, on one thread."""
+    return kept(spark.createDataFrame(rows, schema), "rows")
+
+
 def documents(spark, rows=DOCUMENTS):
-    return spark.createDataFrame(rows, SCHEMA)
+    return _stored(spark, rows, SCHEMA)
 
 
 def labels(spark, rows=LABELS):
-    return spark.createDataFrame(rows, "doc_id bigint, quality int, toxic int")
+    return _stored(spark, rows, "doc_id bigint, quality int, toxic int")
 
 
 def items(spark, rows=ITEMS):
-    return spark.createDataFrame(rows, "item_id bigint, text string")
+    return _stored(spark, rows, "item_id bigint, text string")
 
 
 def pages(spark, rows=PAGES):
-    return spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return _stored(spark, rows, "page_id bigint, url string, html string")
 
 
 def sorted_rows(df, *columns):

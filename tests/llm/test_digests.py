@@ -170,6 +170,16 @@ def test_base_spans():
         text = "".join(rng.choice("a@.-1+ 9(é") for _ in range(30))
         emails = [("email", *m.span()) for m in re.finditer(pii.PATTERNS["email"], text)]
         assert [s for s in pii.base_spans(text) if s[0] == "email"] == emails, text
+        assert [m.span() for m in pii._COMPILED["ip"].finditer(text)] == [m.span() for m in re.finditer(pii.PATTERNS["ip"], text)], text
+        plain = r"(?=[^\s]*[0-9@])[A-Za-z0-9+(][A-Za-z0-9@._%+()\-]{4,}[A-Za-z0-9)]"
+        assert list(pii._candidates(text)) == [m.span() for m in re.finditer(plain, text)], text
+    assert pii.base_spans("0" * 500 + "7.1.1.1 1.1.1.0256") == [("ip", 0, 507)]
+
+
+@pytest.mark.parametrize("unit", ["x", "1", "(", "+", "@", "a.", "1.", "a@", "+1", "1 ", "é", "1-"])
+def test_pii_takes_long_runs_in_one_pass(unit):
+    """Texts without the usual spaces; anything quadratic would not end."""
+    pii._all_mentions(unit * 300_000)
 
 
 def test_bootstrap_discovers_by_context(spark):

@@ -30,6 +30,11 @@ def text_or_empty(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def whole_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc, doc_id, text): each row whole in ``doc``, so that its columns clash with no inner name."""
+    return docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other letter as it is (``lower`` would change accented ones too)."""
     pairs = zip(ascii_uppercase, ascii_lowercase, strict=True)

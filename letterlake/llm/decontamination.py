@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
-from letterlake.llm.common import kept, lower_ascii, table, text_or_empty
+from letterlake.llm.common import kept, lower_ascii, table, text_or_empty, whole_rows
 
 WINDOW_WORDS = 10
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -168,14 +168,11 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """``docs`` without the rows that hold a window of an item."""
     _, matches = phrase_matches(docs, items, id_col, text_col, size)
     keys = kept(matches.select(F.col("id_key").alias("_id"), F.col("text_key").alias("_text")).distinct(), "hit-documents")
-    row = docs.withColumns(
-        {
-            "_row_id": F.coalesce(F.col(id_col).cast("bigint"), F.lit(-(2**63))),
-            "_row_text": F.xxhash64(text_or_empty(text_col), F.col(id_col).isNull()),
-        }
-    )
-    here = (F.col("_row_id") == F.col("_id")) & (F.col("_row_text") == F.col("_text"))
-    return row.join(broadcast_if_small(keys), here, "left_anti").drop("_row_id", "_row_text")
+    rows = whole_rows(docs, id_col, text_col)
+    row_id = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63)))
+    row_text = F.xxhash64(text_or_empty("text"), F.col("doc_id").isNull())
+    here = (row_id == F.col("_id")) & (row_text == F.col("_text"))
+    return rows.join(broadcast_if_small(keys), here, "left_anti").select("doc.*")
 
 
 def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -14,10 +14,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from letterlake.llm.common import kept, table, text_or_empty
+from letterlake.llm.common import kept, table, text_or_empty, whole_rows
 
 BLOCK_BYTES = 4096
 # Bits below the level in a name: room for the partition number (25) and the row in it (33).
@@ -129,16 +129,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each text, all columns as they were."""
     stays = exact_dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
-    keyed = docs.withColumn("_sha", F.sha2(normal_text(text_col).cast("binary"), 256))
-    found = keyed.join(stays.withColumnRenamed("_sha", "_kept_sha"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_sha") == F.col("_kept_sha")), "left_semi")
+    keyed = whole_rows(docs, id_col, text_col).select("doc", "doc_id", F.sha2(normal_text("text").cast("binary"), 256).alias("sha"))
+    found = keyed.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("sha") == F.col("_sha")), "left_semi")
     # Rows repeated with their id: one of them.
-    return found.withColumn("_n", F.row_number().over(_repeats(id_col))).where("_n = 1").drop("_n", "_sha")
-
-
-def _repeats(id_col: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(id_col, "_sha").orderBy("_sha")
+    repeats = Window.partitionBy("doc_id", "sha").orderBy("sha")
+    return found.withColumn("n", F.row_number().over(repeats)).where("n = 1").select("doc.*")
 
 
 def op5_exact_dedup(spark, sf_dir: str) -> DataFrame:

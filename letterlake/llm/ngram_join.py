@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
-from letterlake.llm.common import kept, table, text_or_empty
+from letterlake.llm.common import kept, table, text_or_empty, whole_rows
 from letterlake.llm.components import components
 
 # The frequency table: this many counters, whatever the size of the corpus.
@@ -286,7 +286,7 @@ def drop_alike(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the smallest id of each component; rows without an id stay."""
     found = ngram_components(docs, id_col, text_col, n, percent)
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_id"), "left_anti")
+    return whole_rows(docs, id_col, text_col).join(gone, F.col("doc_id") == F.col("_id"), "left_anti").select("doc.*")
 
 
 def op3_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

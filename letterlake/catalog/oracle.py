@@ -29,7 +29,8 @@ def _topic(source: str, name: str, partitions: int, value: str) -> str:
 
 def _time(text: str) -> str:
     """Epoch-millisecond digits or ISO text as a timestamp."""
-    return f"""case when regexp_full_match({text}, '-?[0-9]{{1,14}}') then make_timestamp(cast({text} as bigint) * 1000)
+    return f"""case when regexp_full_match({text}, '-?[0-9]+')
+            and abs(try_cast({text} as hugeint)) <= 9223372036854775 then make_timestamp(cast({text} as bigint) * 1000)
         when regexp_matches({text}, '^[0-9]{{4}}-') then try_cast({text} as timestamp) end"""
 
 

@@ -8,7 +8,9 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_MILLIS = r"\A-?[0-9]{1,14}\z"
+_EPOCH_MILLIS = r"\A-?[0-9]+\z"
+# A timestamp counts microseconds in 64 bits.
+_MOST_MILLIS = (2**63 - 1) // 1000
 _CALENDAR = r"\A[0-9]{4}-"
 
 # Unit letters of a retention text such as 7d.
@@ -16,10 +18,11 @@ _UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
 
 
 def event_timestamp(column: Column) -> Column:
-    """TIMESTAMP from epoch-millisecond digits or ISO text; anything else is NULL, never an error."""
+    """TIMESTAMP from epoch-millisecond digits or ISO text; what no timestamp holds is NULL, never an error."""
     millis = F.when(column.rlike(_EPOCH_MILLIS), column).try_cast("bigint")
     calendar = F.when(column.rlike(_CALENDAR), column)
-    return F.coalesce(F.timestamp_millis(millis), F.try_to_timestamp(calendar))
+    held = F.when(millis.between(-_MOST_MILLIS, _MOST_MILLIS), millis)
+    return F.coalesce(F.timestamp_millis(held), F.try_to_timestamp(calendar))
 
 
 def ntz(column: Column) -> Column:

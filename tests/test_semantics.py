@@ -83,6 +83,13 @@ def test_event_time_from_millis_or_text(spark, text, expected):
     assert one(df.select(event_timestamp(F.col("x")).cast("timestamp_ntz")))[0] == expected
 
 
+@pytest.mark.parametrize("text", ["100000000000000", "1700000000000000", "-9223372036854775", "9223372036854775", "9223372036854776"])
+def test_event_time_of_any_length_a_timestamp_holds(spark, text):
+    df = spark.createDataFrame([(text,)], "x string")
+    held = abs(int(text)) <= 9223372036854775
+    assert one(df.select(F.unix_millis(event_timestamp(F.col("x")))))[0] == (int(text) if held else None)
+
+
 def test_rate_of_zero_and_null(spark):
     df = spark.createDataFrame([(3, 2), (3, 0), (3, None)], "a long, b long")
     assert [r[0] for r in df.select(rate("a", "b")).collect()] == [1.5, 0.0, None]

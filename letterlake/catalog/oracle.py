@@ -805,6 +805,9 @@ QUERIES = {
         count(*) filter (latency_seconds > 3600) as breaches,
         cast(count(*) filter (latency_seconds <= 3600) as double) / count(*) as within_target_rate
         from latency group by provider_id""",
+    "provider_latency_percentiles": """select provider_id, quantile_disc(latency_seconds, 0.5) as p50_seconds,
+        quantile_disc(latency_seconds, 0.95) as p95_seconds, quantile_disc(latency_seconds, 0.99) as p99_seconds
+        from latency group by provider_id""",
     "backlog": """select tenant_id, count(*) as open_messages, min(opened_at) as oldest_opened_at,
         cast(1706745600 - floor(epoch(min(opened_at))) as bigint) as oldest_age_seconds
         from (select message_id, max(tenant_id) as tenant_id, min(event_time) as opened_at,

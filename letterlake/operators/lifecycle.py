@@ -141,19 +141,22 @@ def provider_sla(latencies: DataFrame, target_seconds: int) -> DataFrame:
     )
 
 
-def provider_percentiles(latencies: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Approximate latency percentiles per provider from mergeable sketches of bounded size."""
-    points = F.percentile_approx("latency_seconds", [0.5, 0.95, 0.99], accuracy)
-    return (
-        latencies.groupBy("provider_id")
-        .agg(points.alias("p"))
-        .select(
-            "provider_id",
-            F.col("p")[0].alias("p50_seconds"),
-            F.col("p")[1].alias("p95_seconds"),
-            F.col("p")[2].alias("p99_seconds"),
-        )
+def provider_percentiles(latencies: DataFrame) -> DataFrame:
+    """Exact latency percentiles per provider: the least value that so many per cent do not exceed.
+
+    Equal latencies are counted before anything is sorted, so a provider's window holds one row per
+    second that occurs, however many deliveries there are.
+    """
+    counts = latencies.where(F.col("latency_seconds").isNotNull()).groupBy("provider_id", "latency_seconds").count()
+    provider = Window.partitionBy("provider_id")
+    running = counts.withColumns(
+        {"reached": F.sum("count").over(provider.orderBy("latency_seconds")), "all": F.sum("count").over(provider)}
     )
+    points = [
+        F.min(F.when(100 * F.col("reached") >= point * F.col("all"), F.col("latency_seconds"))).alias(f"p{point}_seconds")
+        for point in (50, 95, 99)
+    ]
+    return running.groupBy("provider_id").agg(*points)
 
 
 def backlog(lifecycle: DataFrame, now: str) -> DataFrame:

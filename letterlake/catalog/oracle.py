@@ -342,7 +342,7 @@ RELATIONS = {
         from (select message_id, min(event_time) filter (event_type = 'mail.requested') as requested_at,
                 min(event_time) filter (event_type = 'mail.delivered') as delivered_at,
                 first(provider_id order by event_time, event_id) filter (event_type = 'mail.delivered') as provider_id
-            from fact where message_id is not null group by message_id)
+            from fact where coalesce(trim(message_id), '') <> '' group by message_id)
         where requested_at <= delivered_at""",
 }
 
@@ -491,7 +491,8 @@ def _contract_sql() -> str:
     def kind(path: str) -> str:
         return f"json_type(doc, '{path}')"
 
-    iso = "try_cast({0} as timestamp) is null"
+    iso = """(try_cast({0} as timestamptz) is null or not regexp_full_match({0},
+        '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[Tt ][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}([.][0-9]+)?([Zz]|[+-][0-9]{{2}}:[0-9]{{2}})'))"""
     rules: list[tuple[str, str, str]] = []
 
     def text_rule(field: str, path: str, when: str, required: bool, nullable: bool) -> None:
@@ -650,9 +651,12 @@ QUERIES = {
         select 'landing' as target, count(*) as records from decoded
         union all select reason, count(*) from dead group by reason""",
     "dead_letter_docs": "select raw_payload, kafka_topic, kafka_partition, kafka_offset, kafka_timestamp from dead",
-    "dead_letter_search": "select raw_payload, kafka_partition, kafka_offset from dead where contains(lower(raw_payload), 'malformed_non_json_1')",
+    "dead_letter_search": """select raw_payload, kafka_partition, kafka_offset from dead
+        where list_contains(regexp_extract_all(lower(raw_payload), '[a-z0-9_]+'), 'malformed_non_json_101')""",
     "dead_letter_redaction": """select kafka_partition, kafka_offset,
-        regexp_replace(raw_payload, '("(?:event_id|tenant_id|message_id)"\\s*:\\s*")[^"]*', '\\1***', 'g') as raw_payload
+        regexp_replace(regexp_replace(raw_payload,
+                '("(?:event_id|tenant_id|message_id)"\\s*:\\s*")[^"]*', '\\1***', 'g'),
+            '("(?:event_id|tenant_id|message_id)"\\s*:\\s*)[a-z0-9][^,}]*', '\\1***', 'g') as raw_payload
         from dead""",
     "decode_envelope": "select * from decoded",
     "normalize_lifecycle": "select * from normalized",
@@ -798,7 +802,7 @@ QUERIES = {
             count(*) filter ({_RETRIED}) as retries, count(*) filter (event_type = 'mail.retry_exhausted') as exhausted,
             count(failure_code) as failure_codes, min(event_time) filter ({_FAILED}) as first_failure_at,
             max(event_time) filter ({_FAILED}) as last_failure_at
-        from fact where message_id is not null group by message_id)
+        from fact where coalesce(trim(message_id), '') <> '' group by message_id)
         where failures > 0 or retries > 0 or exhausted > 0""",
     "provider_sla": """select provider_id, count(*) as deliveries, min(latency_seconds) as fastest_seconds,
         max(latency_seconds) as slowest_seconds, cast(sum(latency_seconds) as double) / count(*) as mean_seconds,
@@ -812,7 +816,7 @@ QUERIES = {
         cast(1706745600 - floor(epoch(min(opened_at))) as bigint) as oldest_age_seconds
         from (select message_id, max(tenant_id) as tenant_id, min(event_time) as opened_at,
                 bool_or(event_type in ('mail.delivered', 'mail.bounced', 'mail.dropped', 'mail.rejected')) as closed
-            from fact where message_id is not null group by message_id)
+            from fact where coalesce(trim(message_id), '') <> '' group by message_id)
         where not closed group by tenant_id""",
     "engagement_rollup": f"""select tenant_id, campaign_id, level, requested_count, dispatched_count, delivered_count,
         opened_count, clicked_count, {_RATES} from (select tenant_id, campaign_id,
@@ -867,7 +871,10 @@ QUERIES |= {
         where tenant_id is not null and event_date is not null group by all""",
     "stream_route_customer": QUERIES["route_customer"],
     "stream_route_health": f"select value from {_ROUTED} where no_message",
-    "stream_dedup": "select event_id, event_type, event_ts from decoded where event_ts is not null group by all",
+    "stream_land_two_sources": f"select {_ENVELOPE}, event_ts, ingested_ts, event_date from decoded group by all",
+    "stream_internal_topic": f"""select message_id as key, message_id, event_id from {_ROUTED} where not no_message
+        union all select message_id, message_id, event_id from enriched""",
+    "stream_dedup": "select event_id, event_type, event_ts from decoded group by all",
     "stream_volume_over_time": """select time_bucket(interval 1 hour, event_ts) as bucket_start, count(*) as events
         from decoded where event_ts is not null group by 1""",
     "stream_internal_tracking": QUERIES["internal_mail_tracking"],

@@ -31,6 +31,7 @@ from letterlake.operators import (
 from letterlake.plans import marts, semantic
 from letterlake.session import scratch_path, use_utc
 from letterlake.sinks import tables
+from letterlake.sinks.topics import published
 from letterlake.sources import lakehouse, topics
 from letterlake.streaming import landing as landing_stream
 from letterlake.streaming import routers, tracking
@@ -168,7 +169,7 @@ def dead_letter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dead_letter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decode.search_dead_letters(dead(spark, sf_dir), "MALFORMED_NON_JSON_1")
+    found = decode.search_dead_letters(dead(spark, sf_dir), "malformed_non_json_101")
     return found.select("raw_payload", "kafka_partition", "kafka_offset")
 
 
@@ -444,9 +445,7 @@ def fct_mail_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def internal_mail_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The state of a message is its newest row; a repeated row is the same row, so the fact need
-    # not be made unique by event first.
-    return latest.latest_per_message(lifecycle_rows(spark, sf_dir))
+    return latest.latest_per_message(lifecycle_fact(spark, sf_dir))
 
 
 @query
@@ -779,10 +778,21 @@ def stream_land_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing_stream.landing_table(spark, _land_stream(spark, sf_dir))
 
 
+@query
+def stream_land_two_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams, each with its own checkpoint, land half of the topic and all of it under one root."""
+    root = scratch_path(spark, "lake")
+    topic = inputs.lifecycle_topic(spark, sf_dir)
+    for part in (F.col("partition") % 2 == 0, F.lit(True)):
+        records = _streamed(spark, topic.where(part))
+        offsets = scratch_path(spark, "offsets")
+        landing_stream.start_landing(records, root, offsets, once=True).awaitTermination()
+    return landing_stream.landing_table(spark, root)
+
+
 @query
 def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _land_stream(spark, sf_dir)
-    return spark.read.parquet(f"{root}/dead_letters").drop("reason", "batch_id")
+    return tables.dead_letter_table(spark, _land_stream(spark, sf_dir)).drop("reason")
 
 
 @query
@@ -806,7 +816,7 @@ def _route_stream(spark: SparkSession, sf_dir: str, topic: topics.Topic) -> Data
     routers.start_lifecycle_router(
         records, root, scratch_path(spark, "offsets"), PROCESSING_TIME, once=True
     ).awaitTermination()
-    return spark.read.parquet(f"{root}/{topic.name}").select("key", "value")
+    return published(spark, root, topic)
 
 
 @query
@@ -816,16 +826,32 @@ def stream_route_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_route_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    published = _route_stream(spark, sf_dir, topics.HEALTH)
-    payload = F.get_json_object("value", "$.payload")
-    return published.select(F.get_json_object(payload, "$.source_payload").alias("value"))
+    health = _route_stream(spark, sf_dir, topics.HEALTH)
+    return health.select(F.get_json_object("value", "$.payload.source_payload").alias("value"))
+
+
+@query
+def stream_internal_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both routers publish to the internal topic under one root."""
+    root = scratch_path(spark, "routes")
+    for start, topic in (
+        (routers.start_lifecycle_router, inputs.lifecycle_topic(spark, sf_dir)),
+        (routers.start_operational_router, inputs.operational_topic(spark, sf_dir)),
+    ):
+        offsets = scratch_path(spark, "offsets")
+        start(_streamed(spark, topic), root, offsets, PROCESSING_TIME, once=True).awaitTermination()
+    message_id = F.get_json_object("value", "$.message_id")
+    event_id = F.get_json_object("value", "$.event_id")
+    return published(spark, root, topics.INTERNAL).select(
+        "key", message_id.alias("message_id"), event_id.alias("event_id")
+    )
 
 
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "dedup")
     events = decode.decode_envelope(_streamed(spark, inputs.lifecycle_topic(spark, sf_dir)))
-    unique = routers.dedup_stream(events, "60 days").select("event_id", "event_type", "event_ts")
+    unique = routers.dedup_stream(events).select("event_id", "event_type", "event_ts")
     (
         unique.writeStream.format("parquet")
         .option("path", path)
@@ -839,18 +865,10 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_volume_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "volume")
+    root = scratch_path(spark, "volume")
     events = decode.decode_envelope(_streamed(spark, inputs.lifecycle_topic(spark, sf_dir)))
-    counts = routers.volume_stream(events, delay="60 days")
-    (
-        counts.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, batch_id: tables.overwrite_version(batch, path, batch_id))
-        .option("checkpointLocation", scratch_path(spark, "offsets"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
-    return tables.read_version(spark, path)
+    routers.start_volume(events, root, scratch_path(spark, "offsets"), once=True).awaitTermination()
+    return routers.volume_table(spark, root).current()
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from letterlake.functions.clock import epoch_millis, instant
@@ -24,21 +24,39 @@ DEFAULT_DATABASE = "postgres"
 DEFAULT_TABLE = "unknown"
 
 
+def parse_changes(topic: DataFrame) -> DataFrame:
+    """Coordinates, raw value and the parts of the change; records without a value are skipped."""
+    records = topic.where(F.col("value").isNotNull())
+    return parse_object(records, "value", CDC_CHANGE, [*COORDINATES, "value"])
+
+
+def _image() -> Column:
+    return F.coalesce("payload.after", "payload.before")
+
+
+def rejection() -> Column:
+    """Why a record yields no event; NULL for one that does."""
+    return F.when(F.col(CORRUPT).isNotNull(), F.lit("not_json_object")).when(
+        _image().isNull(), F.lit("no_row_image")
+    )
+
+
 def cdc_to_canonical(topic: DataFrame, processing_time: str) -> DataFrame:
+    return canonical_events(parse_changes(topic), processing_time)
+
+
+def canonical_events(parsed: DataFrame, processing_time: str) -> DataFrame:
     """One canonical event per change that carries a row image; other records are skipped.
 
     The row is the ``after`` image, or ``before`` where there is none (deletes). Identifiers the
     source lacks derive from the record's place in the topic, so a redelivery yields the same event.
     """
-    changes = parse_object(
-        topic.where(F.col("value").isNotNull()), "value", CDC_CHANGE, list(COORDINATES)
-    )
-    changes = changes.where(F.col(CORRUPT).isNull()).select(
+    changes = parsed.where(F.col(CORRUPT).isNull()).select(
         *COORDINATES,
         F.coalesce("payload.op", F.lit(DEFAULT_OPERATION)).alias("op"),
         F.col("payload.ts_ms").try_cast("bigint").alias("ts_ms"),
         F.col("payload.source").alias("source"),
-        F.coalesce("payload.after", "payload.before").alias("image"),
+        _image().alias("image"),
     )
     rows = parse_object(
         changes.where(F.col("image").isNotNull()),

@@ -85,6 +85,11 @@ PAYLOAD_CONTRACTS = {
 
 _VARIANT_KINDS = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "object": "OBJECT"}
 
+# Fixed value: a date-time of the schema language (RFC 3339): date, time and offset are all there.
+_DATE_TIME = (
+    r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:[Zz]|[+-][0-9]{2}:[0-9]{2})\z"
+)
+
 ENVELOPE = "envelope"
 _DOCUMENT = "map<string, variant>"
 
@@ -149,17 +154,23 @@ def _field_violation() -> Column:
         return F.concat(F.lit(f"{name}:"), label)
 
     void = kind == "VOID"
+    # 12.0 is an integer too.
+    number = F.when(F.rlike(kind, F.lit("^(DECIMAL|DOUBLE|FLOAT)")), text.try_cast("double"))
+    whole = (rule["kind"] == "BIGINT") & F.coalesce(number == F.floor(number), F.lit(False))
     return (
         F.when(F.col("scope").isNull(), F.lit("not_json_object"))
         .when(rule.isNull(), named("extra"))
         .when(F.col("node").isNull(), named("missing"))
         .when(void & rule["nullable"], F.lit(None))
-        .when(~kind.startswith(rule["kind"]), named("type"))
+        .when(~kind.startswith(rule["kind"]) & ~whole, named("type"))
         .when((F.size(rule["values"]) > 0) & ~F.array_contains(rule["values"], text), named("value"))
         .when(rule["pattern"].isNotNull() & ~F.rlike(text, rule["pattern"]), named("pattern"))
-        .when(rule["date_time"] & event_timestamp(text).isNull(), named("format"))
         .when(
-            rule["minimum"].isNotNull() & (text.try_cast("bigint") < rule["minimum"]), named("minimum")
+            rule["date_time"] & ~(F.rlike(text, F.lit(_DATE_TIME)) & event_timestamp(F.upper(text)).isNotNull()),
+            named("format"),
+        )
+        .when(
+            rule["minimum"].isNotNull() & (text.try_cast("double") < rule["minimum"]), named("minimum")
         )
     )
 

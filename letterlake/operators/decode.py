@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -75,18 +77,47 @@ def split_dead_letters(topic: DataFrame) -> tuple[DataFrame, DataFrame]:
     return landing_rows(parsed), dead_letters(parsed)
 
 
+# A token: letters, digits and underscores, also around single inner dots and apostrophes.
+_TOKEN = r"[\p{L}\p{N}_]++(?:[.'’][\p{L}\p{N}_]++)*+"
+
+
+def _tokens(text: Column) -> Column:
+    """The lower-case tokens of a text, each between spaces."""
+    found = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
+    return F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
+
+
 def search_dead_letters(documents: DataFrame, phrase: str) -> DataFrame:
-    """Dead letters whose payload contains the phrase, whatever the case."""
-    return documents.where(F.contains(F.lower("raw_payload"), F.lit(phrase.lower())))
+    """Dead letters whose payload has the phrase's tokens one after the other, whatever the case.
+
+    Whole tokens match: ``record_1`` does not find ``record_10``. A phrase without tokens finds nothing.
+    """
+    wanted = _tokens(F.lit(phrase))
+    return documents.where((F.trim(wanted) != "") & F.contains(_tokens(F.col("raw_payload")), wanted))
+
+
+# How a value can be written behind its field name: opening mark and content up to the closing one.
+_VALUES = (
+    ('"', r'(?s:[^"\\]++|\\.)*+'),
+    (r'\\"', r'(?:\\\\\\"|\\[^"]|[^"\\]++)*+'),
+    ("'", r"(?s:[^'\\]++|\\.)*+"),
+    ("", r"""[^\s,{}\[\]"'\\][^\s,{}\[\]]*+"""),
+)
 
 
 def redact(documents: DataFrame, fields: tuple[str, ...], mask: str = "***") -> DataFrame:
-    """Masks the text values of the named JSON fields in dead-letter payloads."""
-    names = "|".join(fields)
-    pattern = rf'("(?:{names})"\s*:\s*")[^"]*'
-    return documents.withColumn(
-        "raw_payload", F.regexp_replace("raw_payload", pattern, rf"$1{mask}")
-    )
+    """Masks the scalar values of the named JSON fields in dead-letter payloads.
+
+    Dead letters need not be JSON: quotes may be single, missing at the end or, in JSON kept as text
+    inside JSON, escaped. Numbers, booleans and nulls are masked as well; objects and lists are kept,
+    with the named fields in them masked.
+    """
+    names = "|".join(re.escape(name) for name in fields)
+    text = F.col("raw_payload")
+    for opening, content in _VALUES:
+        pattern = rf"""(\\*["'](?:{names})\\*["']\s*:\s*{opening}){content}"""
+        text = F.regexp_replace(text, pattern, rf"$1{mask}")
+    return documents.withColumn("raw_payload", text)
 
 
 def keyed(parsed: DataFrame, key: str, value: Column | str = "value") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from letterlake.functions.clock import epoch_millis, instant, iso_text
-from letterlake.functions.text import empty_to_null, parse_object
+from letterlake.functions.text import CORRUPT, empty_to_null, parse_object
 from letterlake.operators.decode import COORDINATES
 from letterlake.operators.routing import source_id
 from letterlake.schemas import strings
@@ -34,15 +34,29 @@ ITEM = strings(
 )
 
 
-def stream_records(topic: DataFrame) -> DataFrame:
-    """One row per entry of ``Records``, numbered within its topic record; ``record`` is a variant."""
-    batches = parse_object(
-        topic.where(F.col("value").isNotNull()),
-        "value",
-        T.StructType([T.StructField("Records", T.ArrayType(T.VariantType()))]),
-        list(COORDINATES),
+_BATCH = T.StructType([T.StructField("Records", T.ArrayType(T.VariantType()))])
+
+
+def parse_records(topic: DataFrame) -> DataFrame:
+    """Coordinates, raw value and ``Records``; topic records without a value are skipped."""
+    batches = topic.where(F.col("value").isNotNull())
+    return parse_object(batches, "value", _BATCH, [*COORDINATES, "value"])
+
+
+def rejection() -> Column:
+    """Why a topic record holds no stream records; NULL for one that does."""
+    return F.when(F.col(CORRUPT).isNotNull(), F.lit("not_json_object")).when(
+        F.col("Records").isNull(), F.lit("no_records")
     )
-    return batches.select(*COORDINATES, F.posexplode("Records").alias("record_no", "record"))
+
+
+def numbered_records(parsed: DataFrame) -> DataFrame:
+    """One row per entry of ``Records``, numbered within its topic record; ``record`` is a variant."""
+    return parsed.select(*COORDINATES, F.posexplode("Records").alias("record_no", "record"))
+
+
+def stream_records(topic: DataFrame) -> DataFrame:
+    return numbered_records(parse_records(topic))
 
 
 def new_images(records: DataFrame) -> DataFrame:
@@ -87,8 +101,12 @@ def unmarshal(images: DataFrame, schema: T.StructType, image: str = "image") ->
 
 
 def ddb_to_operational(topic: DataFrame, processing_time: str) -> DataFrame:
+    return operational_events(stream_records(topic), processing_time)
+
+
+def operational_events(records: DataFrame, processing_time: str) -> DataFrame:
     """Operational status events from the stream's new images, 18 columns."""
-    items = unmarshal(new_images(stream_records(topic)), ITEM)
+    items = unmarshal(new_images(records), ITEM)
     now = instant(processing_time)
     millis = epoch_millis(now)
     record = F.col("record_no").cast("string")

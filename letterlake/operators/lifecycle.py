@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from letterlake.functions.clock import instant
 from letterlake.functions.rates import rate
+from letterlake.functions.text import is_blank
 from letterlake.operators.activity import EVENT_MEASURES
 
 # Event types by family, and the numbered lifecycle stages of a message.
@@ -89,7 +90,7 @@ def failure_tracking(lifecycle: DataFrame) -> DataFrame:
     failed = kind.isin(*FAILURE_TYPES) | (F.col("latest_status") == "failed")
     retried = kind.isin(*RETRY_TYPES) | (F.col("latest_status") == "retrying")
     return (
-        lifecycle.where(F.col("message_id").isNotNull())
+        lifecycle.where(~is_blank(F.col("message_id")))
         .groupBy("message_id")
         .agg(
             F.count_if(failed).alias("failures"),
@@ -112,7 +113,7 @@ def delivery_latency(lifecycle: DataFrame) -> DataFrame:
     delivered = F.col("event_type") == "mail.delivered"
     place = F.struct("event_time", "event_id")
     return (
-        lifecycle.where(F.col("message_id").isNotNull() & (requested | delivered))
+        lifecycle.where(~is_blank(F.col("message_id")) & (requested | delivered))
         .groupBy("message_id")
         .agg(
             F.min(F.when(requested, F.col("event_time"))).alias("requested_at"),
@@ -163,7 +164,7 @@ def backlog(lifecycle: DataFrame, now: str) -> DataFrame:
     """Messages without a closing event, per tenant: how many, and how old the oldest is."""
     closed = F.col("event_type").isin(*CLOSED_TYPES)
     messages = (
-        lifecycle.where(F.col("message_id").isNotNull())
+        lifecycle.where(~is_blank(F.col("message_id")))
         .groupBy("message_id")
         .agg(
             F.max("tenant_id").alias("tenant_id"),

@@ -31,14 +31,17 @@ def source_id(prefix: str) -> Column:
     return F.concat(F.lit(prefix), F.sha2(place, 256))
 
 
-def normalize_lifecycle(envelopes: DataFrame) -> DataFrame:
-    """Lower-case event type, typed times; keeps rows that have all three identifiers."""
-    named = envelopes.where(
+def identified() -> Column:
+    return (
         F.col("event_id").isNotNull()
         & F.col("message_id").isNotNull()
         & F.col("correlation_id").isNotNull()
     )
-    return named.select(*ENVELOPE_FIELDS).withColumns(
+
+
+def normalize_lifecycle(envelopes: DataFrame) -> DataFrame:
+    """Lower-case event type, typed times; keeps rows that have all three identifiers."""
+    return envelopes.where(identified()).select(*ENVELOPE_FIELDS).withColumns(
         {
             "event_type": F.lower("event_type"),
             "event_time": ntz(event_timestamp(F.col("event_time"))),

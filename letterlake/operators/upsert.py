@@ -8,11 +8,15 @@ from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
 from letterlake.operators.latest import first_by
+from letterlake.schemas import FCT_MAIL_LIFECYCLE
 from letterlake.sinks.tables import drop_partition, path_exists
 
 
 def newest_first() -> list[Column]:
-    return [F.col("ingested_at").desc_nulls_last(), F.col("event_time").desc_nulls_last()]
+    """The last ingested lifecycle row first; the other columns decide ties, so reruns agree."""
+    first = ("ingested_at", "event_time")
+    others = [name for name in FCT_MAIL_LIFECYCLE.fieldNames() if name not in first]
+    return [F.col(name).desc_nulls_last() for name in (*first, *others)]
 
 
 def merge_by_key(existing: DataFrame, batch: DataFrame, key: str, order: list[Column]) -> DataFrame:

@@ -10,6 +10,7 @@ from letterlake.functions.clock import event_timestamp, ntz
 from letterlake.functions.rates import rate
 from letterlake.functions.text import parse_variant, variant_text
 from letterlake.operators.latest import first_by
+from letterlake.operators.upsert import newest_first
 
 GRID_SLICES = 32
 
@@ -170,16 +171,7 @@ def lifecycle_from_operational(enriched: DataFrame) -> DataFrame:
 
 def fct_mail_lifecycle(lifecycle: DataFrame, operational: DataFrame) -> DataFrame:
     """The lifecycle fact: both producers, one row per event id (the last ingested)."""
-    rows = lifecycle.unionByName(operational)
-    return first_by(
-        rows,
-        ("event_id",),
-        [
-            F.col("ingested_at").desc_nulls_last(),
-            F.col("event_time").desc_nulls_last(),
-            F.xxhash64(*rows.columns).asc(),
-        ],
-    )
+    return first_by(lifecycle.unionByName(operational), ("event_id",), newest_first())
 
 
 def dim_tenant(customers: DataFrame, orders: DataFrame) -> DataFrame:

@@ -66,6 +66,20 @@ LANDING = T.StructType(
     ]
 )
 
+DEAD_LETTER = T.StructType(
+    [
+        T.StructField("raw_payload", T.StringType()),
+        T.StructField("kafka_topic", T.StringType()),
+        T.StructField("kafka_partition", T.IntegerType()),
+        T.StructField("kafka_offset", T.LongType()),
+        T.StructField("kafka_timestamp", T.TimestampNTZType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
+# A topic kept as a folder, as the streams publish it.
+PUBLISHED = strings("key", "value", "topic")
+
 CDC_CHANGE = T.StructType(
     [
         T.StructField(

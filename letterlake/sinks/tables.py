@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import time
+
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from letterlake.schemas import DEAD_LETTER
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
+# A batch is known by the stream that wrote it and its number there.
+WRITER = "main"
+BATCH_KEY = [T.StructField("writer", T.StringType()), T.StructField("batch_id", T.LongType())]
+
 
 def _filesystem(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -25,20 +34,53 @@ def drop_partition(spark: SparkSession, path: str, column: str, value: object) -
     files.delete(where, True)
 
 
-def write_batch(batch: DataFrame, path: str, batch_id: int, *partitions: str) -> None:
-    """Writes a micro-batch under its id; a replay of the batch replaces what it wrote before."""
+def write_batch(
+    batch: DataFrame,
+    path: str,
+    batch_id: int,
+    *partitions: str,
+    writer: str = WRITER,
+    sort: tuple[str, ...] = (),
+) -> None:
+    """Writes a micro-batch under its writer and number; a replay replaces what it wrote before.
+
+    Other writers' batches of the same number stay. ``sort`` orders the rows inside the files.
+    """
     if partitions:
         # Few files per folder, and large folders split: sized by what the shuffle measured.
-        batch = batch.hint("rebalance", *partitions)
+        batch = batch.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *sort)
     (
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        batch.withColumns({"writer": F.lit(writer), "batch_id": F.lit(batch_id).cast("bigint")})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions, "batch_id")
+        .partitionBy(*partitions, "writer", "batch_id")
         .parquet(path)
     )
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """What ``write_batch`` wrote, with ``writer`` and ``batch_id``; empty before the first batch."""
+    full = T.StructType(schema.fields + BATCH_KEY)
+    files, where = _filesystem(spark, path)
+    # A batch without rows leaves a folder that does not tell its partition columns.
+    if not files.exists(where) or not any(status.isDirectory() for status in files.listStatus(where)):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(path).select(*full.fieldNames())
+
+
+def dead_letter_table(spark: SparkSession, root: str) -> DataFrame:
+    return read_batches(spark, f"{root}/dead_letters", DEAD_LETTER).drop(*[f.name for f in BATCH_KEY])
+
+
+def folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of the partition folders directly below ``path``."""
+    files, where = _filesystem(spark, path)
+    if not files.exists(where):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(where)]
+    return [name.removeprefix(f"{column}=") for name in names if name.startswith(f"{column}=")]
+
+
 def versions(spark: SparkSession, path: str) -> list[int]:
     """Committed versions of a versioned table, oldest first."""
     files, where = _filesystem(spark, path)
@@ -58,6 +100,11 @@ def overwrite_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/v={version}")
 
 
+def next_version(spark: SparkSession, path: str) -> int:
+    """A version after all committed ones; the clock keeps two writers from taking the same."""
+    return max([time.time_ns() // 1000, *[version + 1 for version in versions(spark, path)[-1:]]])
+
+
 def read_version(spark: SparkSession, path: str, at_most: int | None = None) -> DataFrame | None:
     """The last committed version, or the last one up to ``at_most``."""
     found = [v for v in versions(spark, path) if at_most is None or v <= at_most]

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from letterlake.sinks.tables import write_batch
+from letterlake.schemas import PUBLISHED
+from letterlake.sinks.tables import WRITER, read_batches, write_batch
 from letterlake.sources.topics import Topic
 
 
@@ -19,8 +20,19 @@ def in_key_order(pairs: DataFrame, topic: Topic, *order: str) -> DataFrame:
     return pairs.repartitionByRange(topic.partitions, *columns).sortWithinPartitions(*columns)
 
 
-def publish(pairs: DataFrame, topic: Topic, batch_id: int, *, servers: str | None = None, path: str | None = None) -> None:
-    """Writes to Kafka (at least once) or to a folder (a replayed batch replaces itself)."""
+def publish(
+    pairs: DataFrame,
+    topic: Topic,
+    batch_id: int,
+    *,
+    writer: str = WRITER,
+    servers: str | None = None,
+    root: str | None = None,
+) -> None:
+    """Writes to Kafka (at least once) or to the topic's folder under ``root``.
+
+    In a folder a replayed batch replaces itself and leaves other writers' records alone.
+    """
     if servers:
         (
             pairs.select("key", "value")
@@ -30,6 +42,12 @@ def publish(pairs: DataFrame, topic: Topic, batch_id: int, *, servers: str | Non
             .save()
         )
         return
-    if not path:
+    if not root:
         raise ValueError("give Kafka servers or a folder")
-    write_batch(pairs.select("key", "value", F.lit(topic.name).alias("topic")), path, batch_id)
+    records = pairs.select("key", "value", F.lit(topic.name).alias("topic"))
+    write_batch(records, f"{root}/{topic.name}", batch_id, writer=writer)
+
+
+def published(spark: SparkSession, root: str, topic: Topic) -> DataFrame:
+    """The records that all writers have published to a topic's folder."""
+    return read_batches(spark, f"{root}/{topic.name}", PUBLISHED).select("key", "value")

@@ -2,14 +2,19 @@
 
 Below the root folder:
 
-``landing/event_date=/batch_id=``    good events, one row per event id
-``dead_letters/batch_id=``           what could not land
+``landing/event_date=/writer=/batch_id=``  good events, one row per event id, by tenant in the files
+``dead_letters/writer=/batch_id=``   what could not land
 ``activity/``                        the batches' rollups (counts and first/last times per key)
 ``dim_customer_*/v=``                refreshed dimensions; readers see the last complete version
 ``fct_daily_customer_delivery/``     the refreshed daily fact, a folder per day
 
 Every write of a batch replaces what an earlier attempt of the same batch wrote, so a batch that is
-run again after a failure changes nothing. Refreshing reads the batch rollups, never the events.
+run again after a failure changes nothing. Several streams may land under one root, also one whose
+checkpoint was lost and starts anew: a batch belongs to its writer. Refreshing reads the batch
+rollups, never the events.
+
+An event id is looked up among those landed when its batch starts; two streams that receive the same
+event at the same moment would both land it.
 """
 
 from __future__ import annotations
@@ -33,12 +38,15 @@ from letterlake.operators.latest import first_by
 from letterlake.schemas import ENVELOPE_FIELDS, FCT_DAILY_DELIVERY, LANDING
 from letterlake.sinks.merge import MergeTable
 from letterlake.sinks.tables import (
+    WRITER,
     drop_versions,
+    next_version,
     overwrite_version,
-    path_exists,
+    read_batches,
     read_version,
     write_batch,
 )
+from letterlake.streaming.batches import start_batches
 
 ACTIVITY_KEYS = ("tenant_id", "event_type", "event_date")
 
@@ -52,7 +60,7 @@ REFRESHED = {**DIMENSIONS, FACT: activity.daily_delivery_fact}
 
 
 def landing_table(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/landing").select(*LANDING.fieldNames())
+    return read_batches(spark, f"{root}/landing", LANDING).select(*LANDING.fieldNames())
 
 
 def _first_deliveries(parsed: DataFrame) -> DataFrame:
@@ -64,24 +72,16 @@ def _first_deliveries(parsed: DataFrame) -> DataFrame:
 
 
 def _not_landed_before(
-    spark: SparkSession, events: DataFrame, root: str, batch_id: int, same_day: bool
+    spark: SparkSession, events: DataFrame, root: str, batch_id: int, writer: str
 ) -> DataFrame:
     """Drops events an earlier batch has landed.
 
     The landed ids that the batch holds are looked up first: that reads one column of the landing
     table and, while the batch's ids are few enough to broadcast, shuffles none of it. ``events``
-    must be kept, as they are measured and used twice. With ``same_day`` only the
-    partitions between the batch's first and last day are read, which is enough where a redelivered
-    event keeps its event time.
+    must be kept, as they are measured and used twice.
     """
-    path = f"{root}/landing"
-    if not path_exists(spark, path):
-        return events
-    landed = spark.read.parquet(path).where(F.col("batch_id") != batch_id)
-    if same_day:
-        low, high = events.agg(F.min("event_date"), F.max("event_date")).first()
-        undated = F.col("event_date").isNull()
-        landed = landed.where(undated | F.col("event_date").between(F.lit(low), F.lit(high)))
+    landed = read_batches(spark, f"{root}/landing", LANDING)
+    landed = landed.where((F.col("writer") != writer) | (F.col("batch_id") != batch_id))
     ids = broadcast_if_small(events.select("event_id"))
     again = landed.select("event_id").join(ids, "event_id", "left_semi")
     return events.join(again, "event_id", "left_anti")
@@ -92,60 +92,70 @@ def land_batch(
     batch_id: int,
     root: str,
     *,
-    same_day: bool = False,
+    writer: str = WRITER,
     refresh: bool = True,
     compact_every: int = 50,
 ) -> None:
-    """Lands one micro-batch of topic records."""
+    """Lands one micro-batch of topic records; it may hold no good event, or nothing else."""
     spark = batch.sparkSession
     if batch.isEmpty():
         return
     parsed = parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
     first = _first_deliveries(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-    events = _not_landed_before(spark, first, root, batch_id, same_day).persist(
+    events = _not_landed_before(spark, first, root, batch_id, writer).persist(
         StorageLevel.MEMORY_AND_DISK
     )
     table = activity_table(spark, root)
     try:
-        write_batch(events, f"{root}/landing", batch_id, "event_date")
-        write_batch(utc_wall_clock(dead_letters(parsed)), f"{root}/dead_letters", batch_id)
-        table.add(events, batch_id)
+        rejected = utc_wall_clock(dead_letters(parsed))
+        write_batch(rejected, f"{root}/dead_letters", batch_id, writer=writer)
+        table.add(events, batch_id, writer)
+        # Last, as the kept events were looked up in this table: writing it makes Spark drop them.
+        write_batch(
+            events, f"{root}/landing", batch_id, "event_date", writer=writer, sort=("tenant_id",)
+        )
     finally:
         for kept in (events, first, parsed):
             kept.unpersist()
     if refresh:
-        refresh_tables(spark, root, batch_id)
+        refresh_tables(spark, root, batch_id, writer)
     if compact_every and batch_id and batch_id % compact_every == 0:
-        table.compact(batch_id - 1)
+        table.compact(batch_id - 1, writer)
 
 
 def activity_table(spark: SparkSession, root: str) -> MergeTable:
     """Counts and first/last times per key, batch by batch."""
-    return MergeTable(
-        spark, f"{root}/activity", lambda rows: activity.activity_rollup(rows, ACTIVITY_KEYS)
-    )
+    def rolled_up(rows: DataFrame) -> DataFrame:
+        return activity.activity_rollup(rows, ACTIVITY_KEYS)
+
+    schema = rolled_up(spark.createDataFrame([], LANDING)).schema
+    return MergeTable(spark, f"{root}/activity", rolled_up, schema)
 
 
-def refresh_tables(spark: SparkSession, root: str, batch_id: int) -> None:
-    """Dimensions and daily fact as of ``batch_id``; equal to recomputing them from all events.
+def refresh_tables(spark: SparkSession, root: str, batch_id: int, writer: str = WRITER) -> None:
+    """Dimensions and daily fact after a batch; equal to recomputing them from all events.
 
     The dimensions are small and written whole. Of the fact only the days the batch has rows of are
     written, from the rollups of those days.
     """
     table = activity_table(spark, root)
-    rollup = table.current(batch_id)
-    for name, build in DIMENSIONS.items():
-        overwrite_version(build(rollup), f"{root}/{name}", batch_id)
-        drop_versions(spark, f"{root}/{name}")
-    days = table.added(batch_id).select("event_date").distinct()
-    fact = activity.daily_delivery_fact(rollup.join(days, "event_date", "left_semi"))
-    (
-        fact.hint("rebalance", "event_date")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .parquet(f"{root}/{FACT}")
-    )
+    rollup = table.current().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for name, build in DIMENSIONS.items():
+            path = f"{root}/{name}"
+            overwrite_version(build(rollup), path, next_version(spark, path))
+            drop_versions(spark, path)
+        days = table.added(batch_id, writer).select("event_date").distinct()
+        fact = activity.daily_delivery_fact(rollup.join(days, "event_date", "left_semi"))
+        (
+            fact.hint("rebalance", "event_date")
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date")
+            .parquet(f"{root}/{FACT}")
+        )
+    finally:
+        rollup.unpersist()
 
 
 def refreshed_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -156,12 +166,11 @@ def refreshed_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def start_landing(
-    topic: DataFrame, root: str, checkpoint: str, *, same_day: bool = False, once: bool = False
+    topic: DataFrame, root: str, checkpoint: str, *, once: bool = False
 ) -> StreamingQuery:
     """Starts the landing stream; with ``once`` it ends when the waiting records are done."""
 
-    def process(batch: DataFrame, batch_id: int) -> None:
-        land_batch(batch, batch_id, root, same_day=same_day)
+    def process(batch: DataFrame, batch_id: int, writer: str) -> None:
+        land_batch(batch, batch_id, root, writer=writer)
 
-    writer = topic.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return start_batches(topic, process, checkpoint, once)

@@ -130,6 +130,9 @@ def test_every_record_lands_or_is_a_dead_letter(spark, topic_of):
     reasons = [r.reason for r in bad.orderBy("kafka_offset").collect()]
     assert reasons == ["not_json_object"] * 4 + ["missing_event_id"]
     assert decode.search_dead_letters(bad, "malformed_non_json_1").count() == 1
+    assert decode.search_dead_letters(bad, "MALFORMED_non_json").count() == 0
+    assert decode.search_dead_letters(bad, "event_id: x").count() == 1
+    assert decode.search_dead_letters(bad, "?").count() == 0
 
 
 def test_bad_time_does_not_fail(spark, topic_of):
@@ -142,6 +145,31 @@ def test_redaction(spark, topic_of):
     assert one(decode.redact(bad, ("recipient",))).raw_payload == '{"recipient": "***", "x": "y"'
 
 
+@pytest.mark.parametrize(
+    ("text", "masked"),
+    [
+        (r'{"recipient": "a\"SECRET", "x": 1', r'{"recipient": "***", "x": 1'),
+        (r'{"recipient": "a\\", "x": "y"', r'{"recipient": "***", "x": "y"'),
+        ('{"recipient": 4711, "x": 1', '{"recipient": ***, "x": 1'),
+        ("{'recipient': 'SECRET', 'x': 'y'", "{'recipient': '***', 'x': 'y'"),
+        (r'{"p": "{\"recipient\":\"S\\\"ECRET\",\"x\":\"y\"}"', r'{"p": "{\"recipient\":\"***\",\"x\":\"y\"}"'),
+        (r'{"p": "{\"recipient\":4711,\"x\":1}"', r'{"p": "{\"recipient\":***,\"x\":1}"'),
+        ('{"recipient": "SECRET', '{"recipient": "***'),
+        ('{"recipient": {"recipient": true', '{"recipient": {"recipient": ***'),
+        ('{"other": "recipient"', '{"other": "recipient"'),
+    ],
+)
+def test_redaction_of_every_kind_of_value(spark, topic_of, text, masked):
+    bad = decode.dead_letters(decode.parse_envelopes(topic_of(text)))
+    assert one(decode.redact(bad, ("recipient",))).raw_payload == masked
+
+
+def test_redaction_of_very_long_values(spark, topic_of):
+    text = '{"recipient": "' + r"\"a" * 100_000 + '", "x": 1'
+    bad = decode.dead_letters(decode.parse_envelopes(topic_of(text)))
+    assert one(decode.redact(bad, ("recipient",))).raw_payload == '{"recipient": "***", "x": 1'
+
+
 # Routing.
 
 
@@ -479,6 +507,13 @@ def test_contracts(spark, topic_of):
         "type:payload.provider",
         "value:payload.delivery_status",
     ]
+    for time in ("1700000000000", "2024-01-01", "2024-01-01T10:00:00", "2024-13-01T10:00:00Z"):
+        assert violations(topic_of(envelope(payload=good, event_time=time))) == ["format:event_time"]
+    for time in ("2024-01-01T10:00:00Z", "2024-01-01t10:00:00.25+01:00"):
+        assert violations(topic_of(envelope(payload=good, event_time=time))) == []
+    for latency, broken in ((12.0, []), (12.5, ["type"]), (-12.0, ["minimum"]), (3, [])):
+        found = violations(topic_of(envelope(payload={**good, "provider_latency_ms": latency})))
+        assert found == [f"{name}:payload.provider_latency_ms" for name in broken]
 
 
 # Dashboards, retention, lifecycle questions.

@@ -484,7 +484,6 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lifecycle")
     fact = lifecycle_fact(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
-    fact = fact.withColumn("event_date", F.coalesce("event_date", F.lit("1970-01-01").cast("date")))
     order = upsert.newest_first()
     for batch in (fact, _corrections(fact)):
         upsert.upsert_table(spark, path, batch, "event_id", "event_date", order)

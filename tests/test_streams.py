@@ -384,3 +384,18 @@ def test_producers_and_normalizer_chain(spark, topic_of, tmp_path):
     ((key, customer),) = published(topics.CUSTOMER)
     assert key == "t" and set(customer) == {"tenant_id", "message_id", "event_type", "event_time", "payload"}
     assert "correlation_id" in published(topics.INTERNAL)[0][1]
+
+
+def test_upsert_keeps_undated_rows_undated(spark, folder):
+    def fact(*rows):
+        return spark.createDataFrame(list(rows), schemas.FCT_MAIL_LIFECYCLE).withColumn(
+            "event_date", F.to_date("event_time")
+        )
+
+    undated = lifecycle_row(1, 0, "a")[:6] + (None,) + lifecycle_row(1, 0, "a")[7:]
+    path, order = f"{folder}/fact", upsert.newest_first()
+    upsert.upsert_table(spark, path, fact(undated, lifecycle_row(2, 0, "a")), "event_id", "event_date", order)
+    assert {(r.event_id, r.event_date is None) for r in spark.read.parquet(path).collect()} == {("e1", True), ("e2", False)}
+    # The event's time becomes known: its row leaves the undated partition.
+    upsert.upsert_table(spark, path, fact(lifecycle_row(1, 5, "b")), "event_id", "event_date", order)
+    assert {(r.event_id, r.event_date is None) for r in spark.read.parquet(path).collect()} == {("e1", False), ("e2", False)}

@@ -9,7 +9,8 @@
 
 A component needs a spanning set of links, so step 3 runs twice. First every list links its groups
 to the one that most lists know (copies of one text then need one pair each). Then all pairs that
-still lie in different components are tried, so no link between components is missed.
+still lie in different components are tried, so no link between components is missed. Classes of one
+group share the whole prefix: their pairs are taken by group, also where the group is alone on its lists.
 
 A shingle is held as a 64-bit hash of its words.
 """
@@ -240,7 +241,7 @@ def ngram_components(
     links = kept(_linked(pairs.unionByName(inside), classes, docs, n, percent), "links-1")
     found = kept(components(links), "components-1")
 
-    # Second pass: every pair of a list whose ends are still apart, members of groups included.
+    # Second pass: every pair of a list or a group whose ends are still apart.
     placed = kept(
         by_class.join(found, by_class.cls == found.node, "left").select("cls", "grp", F.coalesce("component", "cls").alias("component")), "placed"
     )
@@ -267,7 +268,18 @@ def ngram_components(
         )
         .select(F.greatest("x.cls", "y.cls").alias("u"), F.least("x.cls", "y.cls").alias("v"))
     )
-    more = kept(_linked(crossing, classes, docs, n, percent), "links-2")
+    # Pairs within a group, the largest component's own left out as above.
+    parts = kept(placed.groupBy("grp", "component").agg(F.count("*").alias("n")), "group-components")
+    split = parts.groupBy("grp").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+    split = kept(placed.join(split.select("grp", F.col("top.component").alias("main")), "grp"), "split-groups")
+    within = (
+        split.where("component <> main")
+        .alias("x")
+        .join(split.alias("y"), F.col("x.grp") == F.col("y.grp"))
+        .where((F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.main")) | (F.col("x.cls") > F.col("y.cls"))))
+        .select(F.greatest("x.cls", "y.cls").alias("u"), F.least("x.cls", "y.cls").alias("v"))
+    )
+    more = kept(_linked(crossing.unionByName(within), classes, docs, n, percent), "links-2")
     final = kept(components(links.unionByName(more)), "components-2")
 
     named = classes.select("digest", "cls", "first_doc").join(final, F.col("cls") == F.col("node"), "left")

@@ -72,6 +72,23 @@ def test_components_equal_brute_force(spark, monkeypatch, seed, n, percent, long
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute(rows, n, percent)
 
 
+def test_links_inside_a_group_alone_on_its_lists(spark):
+    """A, B, C with one prefix that no other text has; only B and C are alike. Of 16 such triples each member leads some."""
+    rng = random.Random(11)
+    words = lambda name, size: [f"{name}{rng.randrange(10**9)}" for _ in range(size)]
+    first = words("f", 2)
+    x, y = first + words("x", 60), first + words("y", 60)
+    tails = [x, y, y[:-2] + words("z", 2)]
+    texts = [" ".join(words("own", 90) + tail) for tail in tails for _ in range(10)]
+    for _ in range(16):
+        passage = words("p", 40)
+        texts += [" ".join(passage + tail) for tail in tails]
+    rows = list(enumerate(texts))
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.ngram_components(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert found == brute(rows, 3, 90)
+    assert all(found[i + 2][1] == i + 1 and found[i][1] == i for i in range(30, 78, 3))
+
+
 def test_unusual_rows(spark):
     long = " ".join(f"x{i}" for i in range(30_000))
     rows = [(1, long, "a"), (1, long, "a"), (None, long, None), (2, long + " end", "b"), (3, None, "c"), (3, "other words here now", "c")]

@@ -8,11 +8,15 @@ from dataclasses import dataclass, field
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>", re.S)
 _NAME = re.compile(r"</?([A-Za-z][A-Za-z0-9:-]*)")
-_ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+# One attribute with its value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# The mark of an element that is not shown; no class word has brackets.
+HIDDEN = "[hidden]"
 _SPACE = re.compile(r"\s+")
 
 # Tags whose content is no text, tags without content, tags inside a line of text.
 RAW = frozenset("script style noscript template textarea iframe svg math object canvas audio video".split())
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I) for name in RAW}
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var br wbr img".split()
@@ -33,15 +37,12 @@ class Block:
 
 def _marks(tag: str) -> tuple[str, ...]:
     found = []
-    for match in _ATTRIBUTE.finditer(tag):
+    for match in _ATTRIBUTE.finditer(tag, _NAME.match(tag).end()):
         value = next((g for g in match.groups()[1:] if g is not None), "")
         name = match.group(1).lower()
-        if name == "style":
-            if re.search(r"display\s*:\s*none", value):
-                found.append("hidden")
-        elif name == "hidden":
-            found.append("hidden")
-        else:
+        if name == "hidden" or (name == "style" and re.search(r"display\s*:\s*none", value, re.I)):
+            found.append(HIDDEN)
+        elif name in ("class", "id", "role"):
             found += [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower()) if w]
     return tuple(found)
 
@@ -52,8 +53,7 @@ def blocks(page: str) -> list[Block]:
     path: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = links = 0
-    raw: str | None = None
-    at = 0
+    at = place = 0
 
     def flush() -> None:
         nonlocal linked
@@ -71,18 +71,14 @@ def blocks(page: str) -> list[Block]:
             if path[i][0] in until:
                 return
 
-    for match in _TOKEN.finditer(page):
+    while match := _TOKEN.search(page, place):
         tag = match.group()
-        if raw:
-            if tag[:2] == "</" and _NAME.match(tag).group(1).lower() == raw:
-                raw, at = None, match.end()
-            continue
         if match.start() > at:
             piece = page[at : match.start()]
             parts.append(piece)
             if links:
                 linked += len(piece.strip())
-        at = match.end()
+        at = place = match.end()
         name_match = _NAME.match(tag)
         if not name_match:
             if tag.startswith("<![CDATA["):
@@ -91,7 +87,9 @@ def blocks(page: str) -> list[Block]:
         name, closing = name_match.group(1).lower(), tag[1] == "/"
         if name in RAW:
             if not closing and not tag.endswith("/>"):
-                raw = name
+                # Only the element's own end tag is markup in here.
+                end = _RAW_END[name].search(page, at)
+                at = place = end.end() if end else len(page)
             continue
         if name in INLINE:
             if name == "a":
@@ -112,7 +110,7 @@ def blocks(page: str) -> list[Block]:
             if name in group:
                 close(group, frozenset(("ul", "ol", "dl", "table", "select")))
         path.append((name, _marks(tag)))
-    if not raw and at < len(page):
+    if at < len(page):
         parts.append(page[at:])
     flush()
     return out

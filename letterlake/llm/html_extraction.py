@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letterlake.llm.common import table, text_or_empty
-from letterlake.llm.html_blocks import Block, blocks
+from letterlake.llm.html_blocks import HIDDEN, Block, blocks
 
 # Training: pages of the grammar, given pages at most, blocks of a page at most, rounds.
 GRAMMAR_PAGES = 160
@@ -192,7 +192,7 @@ def decode(scores: np.ndarray, moves: np.ndarray) -> list[int]:
 
 
 def main_text(page: str, weights: np.ndarray, moves: np.ndarray) -> str:
-    found = [b for b in blocks(page) if not any(tag == "head" or "hidden" in marks for tag, marks in b.path)]
+    found = [b for b in blocks(page) if not any(tag == "head" or HIDDEN in marks for tag, marks in b.path)]
     if not found:
         return ""
     labels = decode(np.array([weights[_slots(b)].sum(axis=0) for b in found]), moves)

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from letterlake.llm import decontamination, exact_dedup, licenses, packing, pii, repeats
+from letterlake.llm import decontamination, exact_dedup, html_blocks, html_extraction, licenses, packing, pii, repeats
 from letterlake.llm.tokens import Encoder, vocabulary_path
 from tests.llm.rows import DOCUMENTS, documents
 
@@ -202,3 +202,19 @@ def test_licenses_at_every_place_of_a_window(spark):
     rows.append((9999, "The license of all work is reserved to the public, version two.", "en", "s"))
     found = licenses.license_matches(documents(spark, rows)).select("doc_id", "license")
     assert {tuple(r) for r in found.collect()} == expected
+
+
+@pytest.mark.parametrize("code", ["for(i=0;i<n;i++){x()}", "if(a<b){s='</p>'}", "<!-- a<b", "x='<a href=\"'"])
+def test_text_after_a_script_stays(code):
+    for end in ("</script>", "</SCRIPT >"):
+        assert [b.text for b in html_blocks.blocks(f"<p>Before</p><script>{code}{end}<p>Article</p>")] == ["Before", "Article"]
+    assert [b.text for b in html_blocks.blocks(f"<p>Before</p><script>{code}")] == ["Before"]
+
+
+def test_only_the_attribute_and_the_style_hide():
+    weights, moves = np.zeros((html_extraction._SLOTS, 2)), np.zeros((2, 2))
+    weights[:, 1] = 1
+    text = lambda attribute: html_extraction.main_text(f"<div {attribute}><p>Article</p></div>", weights, moves)
+    shown = ['class="overflow-hidden"', 'class="hidden-print"', 'aria-hidden="false"', 'title="hidden gems"', 'data-x="a hidden b"', 'title="style=display:none"']
+    assert [text(a) for a in shown] == ["Article"] * len(shown)
+    assert [text(a) for a in ("hidden", 'hidden=""', 'id="a" HIDDEN class=b', 'style="color:red; display: none"')] == [""] * 4

@@ -64,9 +64,9 @@ def key_words(statements: dict[str, str], containment: float) -> list[str]:
 
 
 def _pairs(found: Column) -> Column:
-    """Distinct neighbouring words of an array."""
+    """Neighbouring words of an array, in order."""
     starts = F.sequence(F.lit(1), F.size(found) - 1)
-    return F.when(F.size(found) > 1, F.array_distinct(F.transform(starts, lambda i: F.concat_ws(" ", F.element_at(found, i), F.element_at(found, i + 1)))))
+    return F.when(F.size(found) > 1, F.transform(starts, lambda i: F.concat_ws(" ", F.element_at(found, i), F.element_at(found, i + 1))))
 
 
 def _bands(pairs: Column, bands: int) -> Column:
@@ -87,14 +87,15 @@ def license_matches(
     """One row per document and license: doc_id, license, containment, n_windows, first_word.
 
     ``first_word`` is where the first window that holds it begins. Notices
-    of different licenses share most words, and a window may cut one: of those within reach of one
-    window, the best held count. Null and empty texts match nothing;
+    of different licenses share most words, and a window may cut one: a match most of whose places a
+    better held one covers does not count. Notices beside each other cover different places, and all
+    count. Null and empty texts match nothing;
     repeated rows of an id are one document; a null id is an id. An empty table gives no rows.
     """
     statements = statements or STATEMENTS
     spark = docs.sparkSession
     known = spark.createDataFrame(sorted(statements.items()), "license string, notice string")
-    known = kept(known.select("license", _pairs(words("notice")).alias("asked")).where("size(asked) > 0"), "statements")
+    known = kept(known.select("license", F.array_distinct(_pairs(words("notice"))).alias("asked")).where("size(asked) > 0"), "statements")
     text = text_or_empty(text_col)
     keyed = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).where(text.rlike(f"(?i)(?<![a-z0-9])(?:{'|'.join(map(re.escape, key_words(statements, containment)))})(?![a-z0-9])"))
     split = keyed.select("doc_id", words("text").alias("words")).where("size(words) > 1")
@@ -105,9 +106,14 @@ def license_matches(
     # The statements are a fixed list: a row per statement and band.
     asked = F.broadcast(known.select("license", "asked", F.explode(_bands(F.col("asked"), bands)).alias("band")))
     share = F.size(F.array_intersect("held", "asked")) / F.size("asked")
-    met = banded.join(asked, "band").select("doc_id", "first_word", "license", share.alias("containment")).where(F.col("containment") >= containment)
+    met = banded.join(asked, "band").select("doc_id", "first_word", "license", share.alias("containment"), "held", "asked").where(F.col("containment") >= containment)
+    # The places of the document whose word pairs are the statement's.
+    places = F.array_compact(F.transform("held", lambda pair, i: F.when(F.array_contains("asked", pair), F.col("first_word") + i)))
+    met = met.select("doc_id", "first_word", "license", "containment", places.alias("places")).distinct()
     near = Window.partitionBy("doc_id").orderBy("first_word").rangeBetween(1 - WINDOW_WORDS, WINDOW_WORDS - 1)
-    best = met.distinct().withColumn("most", F.max("containment").over(near)).where("containment = most")
+    around = met.withColumn("around", F.collect_set(F.struct("containment", "places")).over(near))
+    covered = lambda other: 2 * F.size(F.array_intersect(other["places"], F.col("places"))) > F.size("places")
+    best = around.where(~F.exists("around", lambda other: (other["containment"] > F.col("containment")) & covered(other)))
     return best.groupBy("doc_id", "license").agg(
         F.max("containment").alias("containment"), F.count("*").alias("n_windows"), F.min("first_word").cast("bigint").alias("first_word")
     )

@@ -218,3 +218,17 @@ def test_only_the_attribute_and_the_style_hide():
     shown = ['class="overflow-hidden"', 'class="hidden-print"', 'aria-hidden="false"', 'title="hidden gems"', 'data-x="a hidden b"', 'title="style=display:none"']
     assert [text(a) for a in shown] == ["Article"] * len(shown)
     assert [text(a) for a in ("hidden", 'hidden=""', 'id="a" HIDDEN class=b', 'style="color:red; display: none"')] == [""] * 4
+
+
+def test_neighbouring_licenses_both_stay(spark):
+    """Each notice cut or changed where it stands, beside a short one that is whole, at every offset of the stride."""
+    notices = [({"Apache-2.0"}, "Licensed under the Apache License, Version 2.")]
+    notices += [({name}, licenses.STATEMENTS[name]) for name in ("AGPL-3.0", "LGPL-3.0", "GPL-3.0", "MIT", "CC-BY-SA-4.0")]
+    rows, expected = [], set()
+    for names, notice in notices:
+        for lead in range(licenses.STRIDE_WORDS):
+            for text in (f"{notice} All rights reserved.", f"All rights reserved. {notice}"):
+                rows.append((len(rows), " ".join(f"k{j}" for j in range(lead)) + f" {text} and more", "en", "s"))
+                expected |= {(rows[-1][0], name) for name in names | {"Proprietary"}}
+    found = licenses.license_matches(documents(spark, rows)).select("doc_id", "license")
+    assert {tuple(r) for r in found.collect()} == expected

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from letterlake.llm import decontamination, exact_dedup, html_extraction, language, licenses, ngram_join, packing, pii, quality, repeats
+from letterlake.llm import (
+    alignment,
+    conversation_trie,
+    decontamination,
+    exact_dedup,
+    html_extraction,
+    language,
+    licenses,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    repeats,
+    toxicity,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -15,5 +29,8 @@ QUERIES = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_html_extraction": html_extraction.op9_html_extraction,
     "op10_language_id": language.op10_language_id,
+    "op11_toxicity": toxicity.op11_toxicity,
+    "op12_conversation_prefix_trie": conversation_trie.op12_conversation_prefix_trie,
+    "op13_cross_tokenizer_alignment": alignment.op13_cross_tokenizer_alignment,
 }
 ORACLE_SQL = {"op4_benchmark_decontamination": decontamination.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}

@@ -19,7 +19,6 @@ Ties between passages change no score. No table is collected but the model.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -44,7 +43,9 @@ ANY_EPOCHS, WORST_EPOCHS = 60, 80
 STEPS = (10.0, 0.1, 0.1)
 MOMENTUM = 0.9
 # Words whose score a task remembers at a time; it forgets all and goes on beyond that.
-_REMEMBERED = 200_000
+_REMEMBERED = 500_000
+_CHUNK_CHARS = 1_000_000
+_BASE = np.uint64(0x100000001B3)
 _EDGES = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»„“”‚‘’…–—¡¿"
 
 
@@ -67,13 +68,34 @@ def words(text: str) -> list[str]:
     return found
 
 
-def subwords(word: str) -> list[int]:
-    """The buckets of a word's bag: its n-grams, edges marked, and the word itself."""
-    marked = f"<{word}>"
-    bag = {marked}
+def _bucket(mixed: np.ndarray) -> np.ndarray:
+    mixed = (mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(40)).astype(np.int64) % BUCKETS
+
+
+def bags(found: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, sizes) of the words' bags, one after the other: n-grams, edges marked, and the word itself.
+
+    All words' characters are one array; an n-gram's hash is a polynomial of its characters.
+    """
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    chars = np.frombuffer("".join(f"<{word}>" for word in found).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    lengths = np.array([len(word) + 2 for word in found])
+    ends = np.cumsum(lengths)
+    owner = np.repeat(np.arange(len(found)), lengths)
+    left = np.repeat(ends, lengths) - np.arange(len(chars))
+    powers = np.cumprod(np.full(int(lengths.max()) + 1, _BASE))
+    owners, buckets = [np.arange(len(found))], [_bucket(np.add.reduceat(chars * powers[left], ends - lengths))]
     for n in GRAMS:
-        bag.update(marked[at : at + n] for at in range(len(marked) - n + 1))
-    return [zlib.crc32(gram.encode("utf-8", "surrogatepass")) % BUCKETS for gram in sorted(bag)]
+        starts = np.flatnonzero(left >= n)
+        mixed = np.full(len(starts), n, np.uint64)
+        for at in range(n):
+            mixed = mixed * _BASE + chars[starts + at]
+        owners.append(owner[starts])
+        buckets.append(_bucket(mixed))
+    owners = np.concatenate(owners)
+    return np.concatenate(buckets)[np.argsort(owners, kind="stable")], np.bincount(owners, minlength=len(found))
 
 
 class Sample:
@@ -88,10 +110,8 @@ class Sample:
         self.lengths = np.minimum(self.sizes, PASSAGE)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.words = np.concatenate([documents[at] for at in filled] or [np.zeros(0, np.int32)])
-        bags = [np.array(subwords(word), np.int32) for word in number]
-        self.bag_sizes = np.array([len(bag) for bag in bags], dtype=np.int64)
+        self.buckets, self.bag_sizes = bags(list(number))
         self.bag_starts = np.cumsum(self.bag_sizes) - self.bag_sizes
-        self.buckets = np.concatenate(bags or [np.zeros(0, np.int32)])
 
     def any(self, rng: np.random.Generator) -> np.ndarray:
         """The start of one passage of each document, each equally likely."""
@@ -159,23 +179,33 @@ class Scorer:
     def __init__(self, weights: np.ndarray, bias: float) -> None:
         self.weights, self.bias, self.seen = weights.astype(np.float64), bias, {}
 
-    def word(self, word: str) -> float:
-        score = self.seen.get(word)
-        if score is None:
-            if len(self.seen) >= _REMEMBERED:
-                self.seen.clear()
-            score = self.seen[word] = float(self.weights[subwords(word)].mean())
-        return score
-
-    def score(self, text: str) -> float:
-        scores = [self.word(word) for word in words(text)]
+    def _one(self, found: list[str]) -> float:
         worst = 0.0
-        if scores:
-            length = min(len(scores), PASSAGE)
-            total = np.concatenate(([0.0], np.cumsum(scores)))
+        if found:
+            length = min(len(found), PASSAGE)
+            total = np.concatenate(([0.0], np.cumsum([self.seen[word] for word in found])))
             worst = float((total[length:] - total[:-length]).max()) / length
         return float(1 / (1 + np.exp(-np.clip(worst + self.bias, -500, 500))))
 
+    def scores(self, texts: list[str]) -> list[float]:
+        """The texts' scores, some million characters at a time: a chunk's new words are hashed together."""
+        done: list[float] = []
+        while len(done) < len(texts):
+            chunk, size = [], 0
+            while size < _CHUNK_CHARS and len(done) + len(chunk) < len(texts):
+                text = texts[len(done) + len(chunk)]
+                chunk.append(words(text))
+                size += len(text)
+            if len(self.seen) >= _REMEMBERED:
+                self.seen.clear()
+            fresh = list({word for found in chunk for word in found if word not in self.seen})
+            if fresh:
+                buckets, sizes = bags(fresh)
+                means = np.add.reduceat(self.weights[buckets], np.cumsum(sizes) - sizes) / sizes
+                self.seen.update(zip(fresh, means.tolist(), strict=True))
+            done += map(self._one, chunk)
+        return done
+
 
 def _learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     texts, labels = [], []
@@ -217,8 +247,8 @@ def score(docs: DataFrame, model: tuple[bytes, float]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = _scorer(*shared.value)
         for batch in batches:
-            scores = [scorer.score(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            scores = pa.array(scorer.scores(batch.column(1).to_pylist()), pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), scores], names=["doc_id", "score"])
 
     texts = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), text_or_empty(docs["text"]).alias("text"))
     return texts.mapInArrow(run, "doc_id bigint, score double")

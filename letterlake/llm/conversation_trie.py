@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import pickle
 import tempfile
 from collections.abc import Iterator
@@ -104,10 +105,8 @@ class SpillingQueue:
             heapq.heappush(self.heads, (message, run))
 
     def _rest(self, run: int) -> Iterator[tuple]:
-        rest = self.runs.pop(run)
         head = [message for message, at in self.heads if at == run]
-        yield from head
-        yield from rest
+        return itertools.chain(head, self.runs.pop(run))
 
     def take(self, receiver: tuple[int, int]) -> tuple[int, int, int]:
         """The sum of the receiver's messages; receivers ask in order."""
@@ -336,3 +335,49 @@ def prefix_trie(
 
 def op12_conversation_prefix_trie(spark, sf_dir: str) -> DataFrame:
     return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+# Turns of equal number have no order here: the tables hold none.
+ORACLE = """
+with ordered as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first) - 1 as number
+    from conversations where conv_id is not null),
+ids as (select distinct conv_id, cast(conv_id as varchar) as digits from ordered),
+-- crc32, byte by byte and bit by bit.
+hashed as (
+    select conv_id, conv_id - conv_id % 5 as source,
+        xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(string_split(digits, ''), lambda c: ascii(c)::ubigint)),
+            lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]),
+                lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end)),
+            4294967295::ubigint) % 9 as shared
+    from ids),
+turns as (
+    select h.conv_id, o.role, o.text, o.number as place from hashed h join ordered o on o.conv_id = h.source where o.number < h.shared
+    union all
+    select h.conv_id, o.role, o.text, o.number as place from hashed h join ordered o on o.conv_id = h.conv_id where o.number >= h.shared),
+rebuilt as (
+    select h.conv_id, list(struct_pack(role := t.role, text := t.text) order by t.place) filter (t.conv_id is not null) as path
+    from hashed h left join turns t on t.conv_id = h.conv_id group by h.conv_id),
+sized as (select conv_id, coalesce(path, []) as path, coalesce(len(path), 0) as size from rebuilt),
+members as (
+    select conv_id, size, unnest(range(0, size + 1)) as depth, path from sized),
+prefixes as (select conv_id, size, depth, path[1:depth] as prefix from members),
+nodes as (
+    select prefix, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (size = depth), '')) as ends_sha256,
+        case when any_value(depth) = 0 then 0 else (count(*) - 1) * octet_length(encode(any_value(prefix[-1].text))) end as saved
+    from prefixes group by prefix),
+children as (
+    select n.*, p.conv_id as parent_conv_id from nodes n left join nodes p on p.depth = n.depth - 1 and p.prefix = n.prefix[1:n.depth - 1]),
+counted as (select parent_conv_id, depth - 1 as depth, count(*) as n_children from children where depth > 0 group by all),
+whole as (
+    select c.*, coalesce(k.n_children, 0) as n_children from children c
+    left join counted k on k.parent_conv_id = c.conv_id and k.depth = c.depth),
+below as (
+    select prefix[1:up] as top, n_children, saved from (select *, unnest(range(0, depth + 1)) as up from whole)),
+totals as (select top, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens from below group by top)
+select w.conv_id, cast(w.depth as bigint) as depth, w.parent_conv_id, w.n_convs, cast(w.n_children as bigint) as n_children,
+    cast(t.n_leaves as bigint) as n_leaves, cast(t.saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from whole w join totals t on t.top = w.prefix
+"""

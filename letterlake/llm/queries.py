@@ -33,4 +33,8 @@ QUERIES = {
     "op12_conversation_prefix_trie": conversation_trie.op12_conversation_prefix_trie,
     "op13_cross_tokenizer_alignment": alignment.op13_cross_tokenizer_alignment,
 }
-ORACLE_SQL = {"op4_benchmark_decontamination": decontamination.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE}
+ORACLE_SQL = {
+    "op4_benchmark_decontamination": decontamination.ORACLE,
+    "op5_exact_dedup": exact_dedup.ORACLE,
+    "op12_conversation_prefix_trie": conversation_trie.ORACLE,
+}

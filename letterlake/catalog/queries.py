@@ -487,7 +487,7 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = upsert.newest_first()
     for batch in (fact, _corrections(fact)):
         upsert.upsert_table(spark, path, batch, "event_id", "event_date", order)
-    return spark.read.parquet(path).select(*schemas.FCT_MAIL_LIFECYCLE.fieldNames())
+    return upsert.stored_table(spark, path).select(*schemas.FCT_MAIL_LIFECYCLE.fieldNames())
 
 
 # Dashboards.

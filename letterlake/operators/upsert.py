@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from letterlake.functions.sizes import broadcast_if_small
 from letterlake.operators.latest import first_by
 from letterlake.schemas import FCT_MAIL_LIFECYCLE
-from letterlake.sinks.tables import drop_partition, path_exists
+from letterlake.sinks.commits import Change, Snapshot, TableLog, partition_value
+
+ROWS = "rows"
 
 
 def newest_first() -> list[Column]:
@@ -25,50 +27,45 @@ def merge_by_key(existing: DataFrame, batch: DataFrame, key: str, order: list[Co
     return existing.join(incoming.select(key), key, "left_anti").unionByName(incoming)
 
 
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table that ``upsert_table`` keeps at ``path``, None before the first batch."""
+    log = TableLog(spark, path)
+    return log.read(log.snapshot(), ROWS)
+
+
 def upsert_table(
     spark: SparkSession, path: str, batch: DataFrame, key: str, partition: str, order: list[Column]
 ) -> None:
     """Merges ``batch`` into a partitioned table, rewriting only the partitions it touches.
 
     Touched are the partitions of incoming rows and those holding the rows they replace; the latter
-    are found by a scan of the key and partition columns alone. A partition whose every row moved
-    elsewhere is dropped at the end. Running the same batch again gives the same table.
+    are found by a scan of the key and partition columns alone. All of them change by one commit, also
+    those whose every row moved elsewhere: a driver lost before it leaves the table as it was. A batch
+    that another writer's commit outdates is merged anew. Running the same batch again gives the same table.
     """
+    log = TableLog(spark, path)
     incoming = first_by(batch, (key,), order).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def values(rows: DataFrame) -> set[str | None]:
+        # One value per touched partition: bounded by the number of partitions of the table.
+        return {row[0] for row in rows.select(F.col(partition).cast("string")).distinct().collect()}
+
+    def merge(snapshot: Snapshot) -> Change:
+        keys = broadcast_if_small(incoming.select(key))
+        existing = log.read(snapshot, ROWS)
+        touched: list[str] = []
+        merged = incoming
+        if existing is not None:
+            changed = values(incoming) | values(existing.select(key, partition).join(keys, key, "left_semi"))
+            touched = [folder for folder in snapshot.partitions(ROWS) if partition_value(folder) in changed]
+            held = log.read(snapshot, ROWS, existing.schema, touched)
+            merged = held.join(keys, key, "left_anti").unionByName(incoming)
+        written = log.write(merged.hint("rebalance", partition), ROWS, partition)
+        dropped = {one: [folder for folder in touched if folder in sizes] for one, sizes in snapshot.sets(ROWS).items()}
+        # Another writer may have put a row of ours into any partition.
+        return Change([written], {ROWS: {one: found for one, found in dropped.items() if found}}, {ROWS: None})
+
     try:
-        if path_exists(spark, path):
-            _rewrite_touched(spark, path, incoming, key, partition)
-        else:
-            incoming.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+        log.transact(merge)
     finally:
         incoming.unpersist()
-
-
-def _rewrite_touched(
-    spark: SparkSession, path: str, incoming: DataFrame, key: str, partition: str
-) -> None:
-    keys = broadcast_if_small(incoming.select(key))
-    existing = spark.read.parquet(path)
-    leaving = existing.select(key, partition).join(keys, key, "left_semi").select(partition).distinct()
-    arriving = incoming.select(partition).distinct()
-    # One value per touched partition: bounded by the number of partitions of the table.
-    arriving_at, left_behind = (
-        {row[0] for row in values.collect()} for values in (arriving, leaving)
-    )
-    touched = arriving_at | left_behind
-    in_touched = F.col(partition).isin([value for value in touched if value is not None])
-    if None in touched:
-        in_touched = in_touched | F.col(partition).isNull()
-    merged = existing.where(in_touched).join(keys, key, "left_anti").unionByName(incoming)
-    (
-        merged.hint("rebalance", partition)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    # Overwriting leaves a partition alone that got no row: drop those whose rows all moved away.
-    for value in left_behind - arriving_at:
-        rows = spark.read.parquet(path).where(F.col(partition).eqNullSafe(F.lit(value)))
-        if rows.join(keys, key, "left_anti").isEmpty():
-            drop_partition(spark, path, partition, value)

@@ -23,11 +23,6 @@ def _filesystem(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    files, where = _filesystem(spark, path)
-    return files.exists(where)
-
-
 def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> None:
     name = NULL_PARTITION if value is None else value
     files, where = _filesystem(spark, f"{path}/{column}={name}")

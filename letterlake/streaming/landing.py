@@ -1,30 +1,34 @@
 """Landing a topic: micro-batches into the landing table, and the tables kept up to date from it.
 
-Below the root folder:
+Below the root folder, under one commit log (``sinks.commits``):
 
-``landing/event_date=/writer=/batch_id=``  good events, one row per event id, by tenant in the files
-``dead_letters/writer=/batch_id=``   what could not land
-``activity/``                        the batches' rollups (counts and first/last times per key)
-``dim_customer_*/v=``                refreshed dimensions; readers see the last complete version
-``fct_daily_customer_delivery/``     the refreshed daily fact, a folder per day
+``landing``       good events by day, one row per event id, by tenant in the files
+``event_ids``     the ids that have landed (``streaming.ledger``)
+``activity``      rollups by day: counts and first/last times per key
+``dim_customer_*``, ``fct_daily_customer_delivery``   the refreshed dimensions and daily fact
 
-Every write of a batch replaces what an earlier attempt of the same batch wrote, so a batch that is
-run again after a failure changes nothing. Several streams may land under one root, also one whose
-checkpoint was lost and starts anew: a batch belongs to its writer. Refreshing reads the batch
-rollups, never the events.
+and beside it ``dead_letters/writer=/batch_id=``, what could not land, replaced when a batch is replayed.
 
-An event id is looked up among those landed when its batch starts; two streams that receive the same
-event at the same moment would both land it.
+A batch's events, ids and rollup become visible by one commit, which also notes the batch under its
+writer: a batch that is run again after a failure finds itself noted and changes nothing, and one that
+failed before its commit left nothing to see. Several streams may land under one root at the same moment.
+A commit that was beaten by one that recorded ids in the same buckets looks its ids up again, so an
+event that both received lands once.
+
+Refreshing reads the rollups, never the events. Each refreshed table (the fact: each day of it) notes
+which rollups it was built from; what is not built from the present ones is built anew. A refresh that
+another landing outdates before its commit is computed again, so no refresh puts an older state back.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from letterlake.functions.sizes import broadcast_if_small
 from letterlake.operators import activity
 from letterlake.operators.decode import (
     COORDINATES,
@@ -35,19 +39,14 @@ from letterlake.operators.decode import (
     with_times,
 )
 from letterlake.operators.latest import first_by
-from letterlake.schemas import ENVELOPE_FIELDS, FCT_DAILY_DELIVERY, LANDING
-from letterlake.sinks.merge import MergeTable
-from letterlake.sinks.tables import (
-    WRITER,
-    drop_versions,
-    next_version,
-    overwrite_version,
-    read_batches,
-    read_version,
-    write_batch,
-)
+from letterlake.schemas import ENVELOPE_FIELDS, LANDING
+from letterlake.sinks.commits import FAN, Change, Snapshot, TableLog
+from letterlake.sinks.tables import WRITER, write_batch
+from letterlake.sources.lakehouse import SOURCE_TABLES
+from letterlake.streaming import ledger
 from letterlake.streaming.batches import start_batches
 
+LANDED, ACTIVITY = "landing", "activity"
 ACTIVITY_KEYS = ("tenant_id", "event_type", "event_date")
 
 # What is kept up to date: table name to the function of the activity that gives it.
@@ -60,7 +59,8 @@ REFRESHED = {**DIMENSIONS, FACT: activity.daily_delivery_fact}
 
 
 def landing_table(spark: SparkSession, root: str) -> DataFrame:
-    return read_batches(spark, f"{root}/landing", LANDING).select(*LANDING.fieldNames())
+    log = TableLog(spark, root)
+    return log.read(log.snapshot(), LANDED, LANDING)
 
 
 def _first_deliveries(parsed: DataFrame) -> DataFrame:
@@ -71,20 +71,13 @@ def _first_deliveries(parsed: DataFrame) -> DataFrame:
     return utc_wall_clock(events).select(*LANDING.fieldNames())
 
 
-def _not_landed_before(
-    spark: SparkSession, events: DataFrame, root: str, batch_id: int, writer: str
-) -> DataFrame:
-    """Drops events an earlier batch has landed.
+def _by_tenant(events: DataFrame) -> DataFrame:
+    """Few files per day, large days split, rows of a tenant together."""
+    return events.hint("rebalance", "event_date").sortWithinPartitions("event_date", "tenant_id")
 
-    The landed ids that the batch holds are looked up first: that reads one column of the landing
-    table and, while the batch's ids are few enough to broadcast, shuffles none of it. ``events``
-    must be kept, as they are measured and used twice.
-    """
-    landed = read_batches(spark, f"{root}/landing", LANDING)
-    landed = landed.where((F.col("writer") != writer) | (F.col("batch_id") != batch_id))
-    ids = broadcast_if_small(events.select("event_id"))
-    again = landed.select("event_id").join(ids, "event_id", "left_semi")
-    return events.join(again, "event_id", "left_anti")
+
+def _rolled_up(rows: DataFrame) -> DataFrame:
+    return activity.activity_rollup(rows, ACTIVITY_KEYS)
 
 
 def land_batch(
@@ -94,75 +87,129 @@ def land_batch(
     *,
     writer: str = WRITER,
     refresh: bool = True,
-    compact_every: int = 50,
+    compact_every: int = FAN,
 ) -> None:
-    """Lands one micro-batch of topic records; it may hold no good event, or nothing else."""
+    """Lands one micro-batch of topic records; it may hold no good event, or nothing else.
+
+    Batches of a writer come in the order of their numbers. ``compact_every`` sets of like size are merged.
+    """
     spark = batch.sparkSession
     if batch.isEmpty():
         return
+    log = TableLog(spark, root)
+    note = f"{LANDED}/{writer}"
+
+    def noted(snapshot: Snapshot) -> bool:
+        return int(snapshot.notes.get(note, -1)) >= batch_id
+
     parsed = parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
     first = _first_deliveries(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-    events = _not_landed_before(spark, first, root, batch_id, writer).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    table = activity_table(spark, root)
+
+    def land(snapshot: Snapshot) -> Change:
+        buckets = ledger.buckets_of(first)
+        events = first.join(ledger.landed(log, snapshot, first, buckets), "event_id", "left_anti")
+        events = events.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            added = [
+                log.write(_by_tenant(events), LANDED, "event_date"),
+                ledger.record(log, events),
+                log.write(_rolled_up(events).hint("rebalance", "event_date"), ACTIVITY, "event_date"),
+            ]
+        finally:
+            events.unpersist()
+        return Change(add=added, reads={ledger.TABLE: buckets}, notes={note: str(batch_id)})
+
     try:
         rejected = utc_wall_clock(dead_letters(parsed))
         write_batch(rejected, f"{root}/dead_letters", batch_id, writer=writer)
-        table.add(events, batch_id, writer)
-        # Last, as the kept events were looked up in this table: writing it makes Spark drop them.
-        write_batch(
-            events, f"{root}/landing", batch_id, "event_date", writer=writer, sort=("tenant_id",)
-        )
+        log.transact(land, unless=noted)
     finally:
-        for kept in (events, first, parsed):
+        for kept in (first, parsed):
             kept.unpersist()
     if refresh:
-        refresh_tables(spark, root, batch_id, writer)
-    if compact_every and batch_id and batch_id % compact_every == 0:
-        table.compact(batch_id - 1, writer)
+        refresh_tables(spark, root)
+    if compact_every:
+        compact(spark, root, compact_every)
+
 
+class ActivityTable:
+    """Counts and first/last times per key, of all that has landed."""
 
-def activity_table(spark: SparkSession, root: str) -> MergeTable:
-    """Counts and first/last times per key, batch by batch."""
-    def rolled_up(rows: DataFrame) -> DataFrame:
-        return activity.activity_rollup(rows, ACTIVITY_KEYS)
+    def __init__(self, spark: SparkSession, root: str):
+        self.log = TableLog(spark, root)
+        self.schema = _rolled_up(spark.createDataFrame([], LANDING)).schema
 
-    schema = rolled_up(spark.createDataFrame([], LANDING)).schema
-    return MergeTable(spark, f"{root}/activity", rolled_up, schema)
+    def at(self, snapshot: Snapshot, days: list[str] | None = None) -> DataFrame:
+        return _rolled_up(self.log.read(snapshot, ACTIVITY, self.schema, days))
 
+    def current(self) -> DataFrame:
+        return self.at(self.log.snapshot())
 
-def refresh_tables(spark: SparkSession, root: str, batch_id: int, writer: str = WRITER) -> None:
-    """Dimensions and daily fact after a batch; equal to recomputing them from all events.
+    def compact(self, fan: int = FAN) -> Snapshot:
+        return self.log.compact(ACTIVITY, self.schema, "event_date", _rolled_up, fan)
 
-    The dimensions are small and written whole. Of the fact only the days the batch has rows of are
-    written, from the rollups of those days.
+
+def activity_table(spark: SparkSession, root: str) -> ActivityTable:
+    return ActivityTable(spark, root)
+
+
+def compact(spark: SparkSession, root: str, fan: int = FAN) -> None:
+    """Merges the sets that batches left, so that files and folders stay few."""
+    log = TableLog(spark, root)
+    log.compact(LANDED, LANDING, "event_date", _by_tenant, fan)
+    ledger.compact(log, fan)
+    activity_table(spark, root).compact(fan)
+
+
+def _inputs(sets) -> str:
+    return hashlib.sha256(" ".join(sorted(sets)).encode()).hexdigest()
+
+
+def _stale(snapshot: Snapshot) -> tuple[list[str], list[str]]:
+    """(dimensions, days of the fact) that were not built from the present rollups."""
+    whole = _inputs(snapshot.sets(ACTIVITY))
+    dimensions = [name for name in DIMENSIONS if snapshot.notes.get(name) != whole]
+    days = snapshot.partitions(ACTIVITY)
+    return dimensions, [day for day, sets in days.items() if snapshot.notes.get(f"{FACT}/{day}") != _inputs(sets)]
+
+
+def refresh_tables(spark: SparkSession, root: str) -> None:
+    """Brings dimensions and daily fact up to date; equal to recomputing them from all events.
+
+    The dimensions are small and written whole. Of the fact only the days with new rollups are written,
+    from the rollups of those days.
     """
     table = activity_table(spark, root)
-    rollup = table.current().persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for name, build in DIMENSIONS.items():
-            path = f"{root}/{name}"
-            overwrite_version(build(rollup), path, next_version(spark, path))
-            drop_versions(spark, path)
-        days = table.added(batch_id, writer).select("event_date").distinct()
-        fact = activity.daily_delivery_fact(rollup.join(days, "event_date", "left_semi"))
-        (
-            fact.hint("rebalance", "event_date")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date")
-            .parquet(f"{root}/{FACT}")
-        )
-    finally:
-        rollup.unpersist()
+    log = table.log
+
+    def refresh(snapshot: Snapshot) -> Change | None:
+        dimensions, days = _stale(snapshot)
+        if not dimensions and not days:
+            return None
+        change = Change(reads={ACTIVITY: None if dimensions else days})
+        rollup = table.at(snapshot).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            for name in dimensions:
+                change.add.append(log.write(DIMENSIONS[name](rollup), name))
+                change.drop[name] = {one: list(sizes) for one, sizes in snapshot.sets(name).items()}
+                change.notes[name] = _inputs(snapshot.sets(ACTIVITY))
+        finally:
+            rollup.unpersist()
+        if days:
+            fact = activity.daily_delivery_fact(table.at(snapshot, days))
+            change.add.append(log.write(fact.hint("rebalance", "event_date"), FACT, "event_date"))
+            outdated = {one: [day for day in days if day in sizes] for one, sizes in snapshot.sets(FACT).items()}
+            change.drop[FACT] = {one: found for one, found in outdated.items() if found}
+            inputs = snapshot.partitions(ACTIVITY)
+            change.notes |= {f"{FACT}/{day}": _inputs(inputs[day]) for day in days}
+        return change
+
+    log.transact(refresh)
 
 
 def refreshed_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    if name == FACT:
-        columns = FCT_DAILY_DELIVERY.fieldNames()
-        return spark.read.schema(FCT_DAILY_DELIVERY).parquet(f"{root}/{FACT}").select(*columns)
-    return read_version(spark, f"{root}/{name}")
+    log = TableLog(spark, root)
+    return log.read(log.snapshot(), name, SOURCE_TABLES[name])
 
 
 def start_landing(

@@ -863,6 +863,10 @@ QUERIES |= {
     "layer_campaign_performance": QUERIES["campaign_performance"],
     "layer_template_performance": QUERIES["template_performance"],
     "layer_delivery_summary": QUERIES["customer_delivery_summary"],
+    "layer_internal_mail_tracking": QUERIES["internal_mail_tracking"],
+    "layer_fct_mail_lifecycle": QUERIES["fct_mail_lifecycle"],
+    "layer_dim_tenant": QUERIES["dim_tenant"],
+    "layer_dim_provider": QUERIES["dim_provider"],
     "stream_land_events": f"select {_ENVELOPE}, event_ts, ingested_ts, event_date from decoded group by all",
     "stream_dead_letters": QUERIES["dead_letter_docs"],
     "stream_dim_tenant": f"select tenant_id, {_SEEN} from {_LANDED} where tenant_id is not null group by tenant_id",

@@ -28,9 +28,10 @@ from letterlake.operators import (
     staging,
     upsert,
 )
-from letterlake.plans import marts, semantic
+from letterlake.plans import graph, marts, semantic
 from letterlake.session import scratch_path, use_utc
 from letterlake.sinks import tables
+from letterlake.sinks.commits import Snapshot, TableLog
 from letterlake.sinks.topics import published
 from letterlake.sources import lakehouse, topics
 from letterlake.streaming import landing as landing_stream
@@ -412,10 +413,22 @@ def template_performance_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.template_performance(template_days(spark, sf_dir), once)
 
 
+def _sources(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    return {
+        "lifecycle_records": lambda: marts.lifecycle_from_events(normalized(spark, sf_dir)),
+        "operational_records": lambda: marts.lifecycle_from_operational(enriched(spark, sf_dir)),
+        "accounts": lambda: table(spark, sf_dir, "customer"),
+        "orders": lambda: table(spark, sf_dir, "orders"),
+        "suppliers": lambda: table(spark, sf_dir, "supplier"),
+        "nations": lambda: table(spark, sf_dir, "nation"),
+        "regions": lambda: table(spark, sf_dir, "region"),
+    }
+
+
 def _layer(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     root = scratch_path(spark, "layer")
     events = inputs.landing_events(spark, sf_dir)
-    return semantic.build_semantic_layer(spark, events, root, only=(name,))[name]
+    return semantic.build_semantic_layer(spark, events, root, more=_sources(spark, sf_dir), only=(name,))[name]
 
 
 @query
@@ -433,6 +446,26 @@ def layer_delivery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _layer(spark, sf_dir, "customer_delivery_summary")
 
 
+@query
+def layer_internal_mail_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "internal_mail_tracking")
+
+
+@query
+def layer_fct_mail_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "fct_mail_lifecycle")
+
+
+@query
+def layer_dim_tenant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "dim_tenant")
+
+
+@query
+def layer_dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _layer(spark, sf_dir, "dim_provider")
+
+
 @query
 def reporting_dimensions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.reporting_dimensions(tenants(spark, sf_dir), event_types(spark, sf_dir))
@@ -582,94 +615,57 @@ def retention_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers.groupBy("tier").agg(F.count("*").alias("events"))
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
-    return {
-        "landing_events": lambda: inputs.landing_events(spark, sf_dir),
-        "dim_customer_tenant": lambda: tenants(spark, sf_dir),
-        "dim_customer_event_type": lambda: event_types(spark, sf_dir),
-        "fct_daily_customer_delivery": lambda: daily(spark, sf_dir),
-        "customer_delivery_summary": lambda: daily_metrics(spark, sf_dir),
-        "customer_tenant": lambda: tenants(spark, sf_dir),
-        "event_type": lambda: event_types(spark, sf_dir),
-        "campaign_performance": lambda: campaign_performance(spark, sf_dir),
-        "template_performance": lambda: template_performance(spark, sf_dir),
-        "internal_mail_tracking": lambda: internal_mail_tracking(spark, sf_dir),
-        "dim_tenant": lambda: dim_tenant(spark, sf_dir),
-        "dim_provider": lambda: dim_provider(spark, sf_dir),
-        "fct_mail_lifecycle": lambda: lifecycle_fact(spark, sf_dir),
-    }
-
+# Checks are counted while the layer is written. The layer is built once per session and input.
 
-_SUITE = quality.SOURCE_CHECKS | quality.MART_CHECKS
+_LAYERS: dict[tuple[str, str], str] = {}
 
 
-def _union(results: list[DataFrame]) -> DataFrame:
-    total = results[0]
-    for result in results[1:]:
-        total = total.unionByName(result)
-    return total
+def _checked(spark: SparkSession, sf_dir: str) -> Snapshot:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAYERS:
+        _LAYERS[key] = scratch_path(spark, "checked-layer")
+    events = inputs.landing_events(spark, sf_dir)
+    semantic.build_semantic_layer(spark, events, _LAYERS[key], more=_sources(spark, sf_dir))
+    return TableLog(spark, _LAYERS[key]).snapshot()
 
 
-def _row_check(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
-    results = []
-    for name, relation in _checked(spark, sf_dir).items():
-        columns = getattr(_SUITE[name], check)
-        if columns:
-            results.append(quality.row_failures(relation(), name, [(check, c) for c in columns]))
-    return _union(results)
+def _check(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
+    return graph.check_report(spark, _checked(spark, sf_dir), semantic.CHECKS, check)
 
 
 @query
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _row_check(spark, sf_dir, "not_null")
+    return _check(spark, sf_dir, "not_null")
 
 
 @query
 def dq_not_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _row_check(spark, sf_dir, "not_empty")
+    return _check(spark, sf_dir, "not_empty")
 
 
 @query
 def dq_non_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _row_check(spark, sf_dir, "non_negative")
+    return _check(spark, sf_dir, "non_negative")
 
 
 @query
 def dq_between_0_1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _row_check(spark, sf_dir, "between_zero_and_one")
+    return _check(spark, sf_dir, "between_zero_and_one")
 
 
 @query
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _union(
-        [
-            quality.key_failures(relation(), name, (column,), combination=False)
-            for name, relation in _checked(spark, sf_dir).items()
-            for column in _SUITE[name].unique
-        ]
-    )
+    return _check(spark, sf_dir, "unique")
 
 
 @query
 def dq_unique_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _union(
-        [
-            quality.key_failures(relation(), name, columns, combination=True)
-            for name, relation in _checked(spark, sf_dir).items()
-            for columns in _SUITE[name].unique_combination
-        ]
-    )
+    return _check(spark, sf_dir, "unique_combination")
 
 
 @query
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    relations = _checked(spark, sf_dir)
-    return _union(
-        [
-            quality.freshness(relations[name](), name, rule, FRESHNESS_TIME)
-            for name, rule in quality.FRESHNESS.items()
-        ]
-    )
+    return graph.freshness_report(spark, _checked(spark, sf_dir), quality.FRESHNESS, FRESHNESS_TIME)
 
 
 @query

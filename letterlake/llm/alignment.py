@@ -61,7 +61,7 @@ class Aligner:
 
         import sentencepiece
 
-        self.encoder = Encoder(path_a)
+        self.encoder = Encoder(path_a, plain=True)
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=path_b)
         with open(path_a, encoding="utf-8") as file:
             vocabulary = json.load(file)

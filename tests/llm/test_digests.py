@@ -10,6 +10,7 @@ from string import ascii_lowercase, ascii_uppercase
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from letterlake.llm import decontamination, exact_dedup, html_blocks, html_extraction, licenses, packing, pii, repeats
 from letterlake.llm.tokens import Encoder, vocabulary_path
@@ -139,14 +140,18 @@ def test_packing_round_trip(spark):
         assert end <= 1024
 
 
-def test_fast_and_slow_tokens_agree():
-    """Every character that goes the fast way, and the vocabulary's special names as plain text."""
-    fast, slow = Encoder(vocabulary_path()), Encoder(vocabulary_path())
-    slow._fast = None
-    texts = ["".join(map(chr, range(0x250))), "‐–—…‘’“”€", "a\r\n\t b  c   ", "don't I'LL 12345 <|endoftext|> <s>"]
+@pytest.mark.parametrize("plain", [False, True])
+def test_tokens_are_those_of_the_library(plain):
+    """Every character that goes the fast way, random text, and added tokens spelt out in a text."""
+    encoder, library = Encoder(vocabulary_path(), plain), Tokenizer.from_file(vocabulary_path())
+    library.encode_special_tokens = plain
+    rng = random.Random(7)
+    texts = ["".join(map(chr, range(0x250))), "‐–—…‘’“”€", "a\r\n\t b  c   ", "don't I'LL 12345 <|endoftext|> <s>", "<|endoftext|>"]
     texts += [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}" for c in range(0x250)]
+    texts += ["".join(chr(rng.choice([32, 10, rng.randint(33, 126), rng.randint(160, 0x3000)])) for _ in range(80)) for _ in range(60)]
     for text in texts:
-        assert fast.ids(text).tolist() == slow.ids(text).tolist(), text
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert encoder.ids("a <|endoftext|>").tolist()[-1] == (29 if plain else 50256)
 
 
 def test_base_spans():

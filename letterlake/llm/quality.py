@@ -106,6 +106,15 @@ def _order(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
     return share, totals.select("context", (F.col("freed") / F.col("total")).alias("backoff"))
 
 
+def _columns(rows: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A stored table of two columns (an index below SYMBOLS**ORDER, a number), a slice at a time."""
+    rows = kept(rows, "model-rows").toDF("at", "value")
+    slices = 1 + rows.count() // 500_000
+    for one in range(slices):
+        part = rows.where(F.pmod(F.xxhash64("at"), F.lit(slices)) == one).toArrow()
+        yield part["at"].to_numpy(), part["value"].to_numpy().astype(np.float32)
+
+
 def kneser_ney(counts: DataFrame) -> np.ndarray:
     """Negative log2 probability of each n-gram's last symbol, for every possible n-gram.
 
@@ -118,18 +127,21 @@ def kneser_ney(counts: DataFrame) -> np.ndarray:
         suffix = F.col("gram").bitwiseAND((1 << _BITS * k) - 1)
         # How many different symbols come before: one row each in the order above.
         orders.append(kept(orders[-1].groupBy(suffix.alias("gram")).agg(F.count("*").alias("n")), "suffix-counts"))
-    lower = np.full(1, 1 / SYMBOLS)
+    lower = np.full(1, 1 / SYMBOLS, np.float32)
     for k, table_ in enumerate(reversed(orders), 1):
-        share, backoff = (part.toPandas() for part in _order(table_))
-        left = np.ones(SYMBOLS ** (k - 1))
-        left[backoff["context"].to_numpy(np.int64)] = backoff["backoff"]
-        # The order below, by the symbols after the first; for k = 1 the uniform distribution.
-        whole = left[:, None] * (np.full((1, SYMBOLS), 1 / SYMBOLS) if k == 1 else np.tile(lower.reshape(-1, SYMBOLS), (SYMBOLS, 1)))
-        whole = whole.reshape(-1)
-        whole[share["gram"].to_numpy(np.int64)] += share["p"].to_numpy()
-        lower = whole
+        share, backoff = _order(table_)
+        left = np.ones(SYMBOLS ** (k - 1), np.float32)
+        for context, rest in _columns(backoff):
+            left[context] = rest
+        # The order below, by the symbols after the first; for k = 1 the uniform distribution. One array is made.
+        below = lower.reshape(1, -1, SYMBOLS) if k > 1 else np.full((1, 1, SYMBOLS), lower[0], np.float32)
+        lower = (left.reshape(-1, below.shape[1], 1) * below).reshape(-1)
+        for gram, p in _columns(share):
+            lower[gram] += p
+    np.log2(lower, out=lower)
+    np.negative(lower, out=lower)
     # Half precision keeps the array, which every worker holds, at 32 MB.
-    return -np.log2(lower).astype(np.float16)
+    return lower.astype(np.float16)
 
 
 def score(docs: DataFrame, bits: np.ndarray, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

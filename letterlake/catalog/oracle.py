@@ -798,6 +798,25 @@ QUERIES = {
         from (select event_type as t from normalized) group by all""",
     "audit_history": """select message_id, event_time, event_id, event_type, tenant_id, correlation_id, latest_status,
         failure_code from fact""",
+    "message_state_as_of": """select * from (with asked as (select distinct message_id, unnest([d + interval 12 hour, d - interval 12 hour]) as as_of
+            from (select message_id, date_trunc('day', event_time) as d from fact
+                where message_id is not null and event_time is not null))
+        select a.message_id, a.as_of, f.event_id, f.event_type, f.latest_status, f.failure_code, f.event_time as state_since
+        from asked a left join fact f on f.message_id = a.message_id and trim(f.message_id) <> '' and f.event_time <= a.as_of
+        qualify row_number() over (partition by a.message_id, a.as_of
+            order by f.event_time desc nulls last, f.ingested_at desc nulls last, f.event_id desc nulls last) = 1)""",
+    "stage_violations": f"""select * from (with staged as (select message_id, event_time, ingested_at, event_id, {_STAGE_CASE} as stage
+            from (select *, event_type as t from fact)
+            where coalesce(trim(message_id), '') <> '' and event_time is not null),
+        steps as (select *, stage - lag(stage) over w as step, row_number() over w as n from staged where stage is not null
+            window w as (partition by message_id order by event_time, ingested_at nulls first, event_id)),
+        entries as (select message_id, string_agg(stage, '>' order by entered) as path, count(*) as stages
+            from (select message_id, stage, min(n) as entered from steps group by all) group by message_id)
+        select message_id, count(*) as staged_events, any_value(path) as path, count(*) filter (step = 1) as forward,
+            count(*) filter (step > 1) as skipped, count(*) filter (step = 0) as repeated, count(*) filter (step < 0) as backward,
+            cast(max(stage) - any_value(stages) as integer) as never_entered
+        from steps join entries using (message_id) group by message_id
+        having count(*) filter (step > 1 or step < 0) > 0)""",
     "failure_tracking": f"""select * from (select message_id, count(*) filter ({_FAILED}) as failures,
             count(*) filter ({_RETRIED}) as retries, count(*) filter (event_type = 'mail.retry_exhausted') as exhausted,
             count(failure_code) as failure_codes, min(event_time) filter ({_FAILED}) as first_failure_at,
@@ -881,6 +900,7 @@ QUERIES |= {
     "stream_dedup": "select event_id, event_type, event_ts from decoded group by all",
     "stream_volume_over_time": """select time_bucket(interval 1 hour, event_ts) as bucket_start, count(*) as events
         from decoded where event_ts is not null group by 1""",
+    "stream_offset_gaps": QUERIES["offset_gaps"],
     "stream_internal_tracking": QUERIES["internal_mail_tracking"],
 }
 

@@ -19,6 +19,7 @@ from letterlake.operators import (
     dashboards,
     decode,
     dynamodb,
+    history,
     latest,
     lifecycle,
     operational,
@@ -686,6 +687,21 @@ def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.audit_history(lifecycle_fact(spark, sf_dir))
 
 
+@query
+def message_state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message at noon of each day it has events on, and a day before the first of them."""
+    fact = lifecycle_fact(spark, sf_dir)
+    dated = fact.where(F.col("message_id").isNotNull() & F.col("event_time").isNotNull())
+    noon = F.to_date("event_time").cast("timestamp_ntz") + F.expr("interval 12 hours")
+    days = dated.select("message_id", F.explode(F.array(noon, noon - F.expr("interval 1 day"))).alias("as_of"))
+    return history.state_as_of(fact, days.distinct())
+
+
+@query
+def stage_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return history.stage_violations(lifecycle_fact(spark, sf_dir))
+
+
 @query
 def failure_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lifecycle.failure_tracking(lifecycle_fact(spark, sf_dir))
@@ -866,6 +882,17 @@ def stream_volume_over_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routers.volume_table(spark, root).current()
 
 
+@query
+def stream_offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic comes in two streams that share a root; half of its offsets arrive late."""
+    root = scratch_path(spark, "offset-ranges")
+    topic = inputs.change_topic(spark, sf_dir)
+    for late in (False, True):
+        records = _streamed(spark, topic.where((F.col("offset") % 2 == 1) == late))
+        routers.start_offset_tracking(records, root, scratch_path(spark, "offsets"), once=True).awaitTermination()
+    return routers.current_gaps(spark, root)
+
+
 @query
 def stream_internal_tracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "tracking")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ _MOST_MILLIS = (2**63 - 1) // 1000
 _CALENDAR = r"\A[0-9]{4}-"
 
 # Unit letters of a retention text such as 7d.
-_UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
+_SECONDS = {"d": 86_400, "h": 3_600, "m": 60, "s": 1}
 
 
 def event_timestamp(column: Column) -> Column:
@@ -43,10 +42,11 @@ def iso_millis_text(column: Column) -> Column:
 
 def duration(text: str) -> dt.timedelta:
     """``7d``, ``12h``, ``30m`` or ``45s``."""
-    match = re.fullmatch(r"(\d+)([smhd])", text.strip())
-    if not match:
-        raise ValueError(f"not a duration: {text!r}")
-    return dt.timedelta(**{_UNITS[match.group(2)]: int(match.group(1))})
+    *digits, unit = text.strip() or " "
+    count = "".join(digits)
+    if not (count.isascii() and count.isdigit() and unit in _SECONDS):
+        raise ValueError(f"no number of days, hours, minutes or seconds: {text!r}")
+    return dt.timedelta(seconds=int(count) * _SECONDS[unit])
 
 
 def instant(moment: dt.datetime | str) -> Column:

@@ -11,6 +11,7 @@ from letterlake.functions.clock import instant
 from letterlake.functions.rates import rate
 from letterlake.functions.text import is_blank
 from letterlake.operators.activity import EVENT_MEASURES
+from letterlake.operators.ranges import gaps_between, merge_ranges
 
 # Event types by family, and the numbered lifecycle stages of a message.
 EVENT_FAMILIES = {
@@ -44,7 +45,6 @@ FAILURE_TYPES = ("mail.dispatch_failed", "mail.bounced", "mail.dropped", "mail.r
 RETRY_TYPES = ("mail.retry_scheduled",)
 EXHAUSTED_TYPES = ("mail.retry_exhausted",)
 CLOSED_TYPES = ("mail.delivered", "mail.bounced", "mail.dropped", "mail.rejected")
-OFFSET_BLOCK = 100_000
 
 
 def _lookup(groups: dict, column: str) -> Column:
@@ -290,30 +290,19 @@ def lag_events(parsed: DataFrame, event_ts: Column, threshold_seconds: int) -> D
     )
 
 
-def offset_gaps(topic: DataFrame) -> DataFrame:
-    """Missing offset ranges per partition.
+LOG = ["topic", "partition"]
 
-    Neighbours are compared inside blocks of offsets, then block borders among themselves: a topic
-    partition of any length needs no window over all its records.
-    """
-    log = ["topic", "partition"]
-    blocked = topic.select(*log, "offset", F.expr(f"offset div {OFFSET_BLOCK}").alias("block"))
-    inside = Window.partitionBy(*log, "block").orderBy("offset")
-    across = Window.partitionBy(*log).orderBy("block")
-    pairs = blocked.select(*log, F.lag("offset").over(inside).alias("previous"), F.col("offset").alias("next"))
-    borders = (
-        blocked.groupBy(*log, "block")
-        .agg(F.min("offset").alias("low"), F.max("offset").alias("high"))
-        .select(*log, F.lag("high").over(across).alias("previous"), F.col("low").alias("next"))
-    )
-    return (
-        pairs.unionByName(borders)
-        .where(F.col("next") > F.col("previous") + 1)
-        .select(
-            *log,
-            (F.col("previous") + 1).alias("first_missing"),
-            (F.col("next") - 1).alias("last_missing"),
-            (F.col("next") - F.col("previous") - 1).alias("missing"),
-            F.lit("connector.cdc_gap_detected").alias("event_type"),
-        )
-    )
+
+def offset_ranges(records: DataFrame) -> DataFrame:
+    """Each record's place in its log as a range of one offset."""
+    return records.select(*LOG, F.col("offset").alias("first"), F.col("offset").alias("last"))
+
+
+def gap_events(merged: DataFrame) -> DataFrame:
+    """Missing offset ranges per partition, of merged ranges."""
+    return gaps_between(merged, LOG).withColumn("event_type", F.lit("connector.cdc_gap_detected"))
+
+
+def offset_gaps(topic: DataFrame) -> DataFrame:
+    """Missing offset ranges per partition; the topic is read once."""
+    return gap_events(merge_ranges(offset_ranges(topic), LOG))

@@ -25,6 +25,8 @@ from letterlake.operators.decode import (
     rejection,
     utc_wall_clock,
 )
+from letterlake.operators.lifecycle import LOG, gap_events, offset_ranges
+from letterlake.operators.ranges import merge_ranges
 from letterlake.sinks.merge import MergeTable
 from letterlake.sinks.tables import write_batch
 from letterlake.sinks.topics import publish
@@ -260,3 +262,40 @@ def start_volume(
             table.compact(batch_id - 1, writer)
 
     return start_batches(events, process, checkpoint, once)
+
+
+_RANGES = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("first", T.LongType()),
+        T.StructField("last", T.LongType()),
+    ]
+)
+
+
+def offset_table(spark: SparkSession, root: str) -> MergeTable:
+    """The offsets seen so far as merged ranges; batches may come in any order, and twice."""
+    return MergeTable(spark, root, lambda rows: merge_ranges(rows, LOG), _RANGES)
+
+
+def start_offset_tracking(
+    records: DataFrame, root: str, checkpoint: str, *, once: bool = False, compact_every: int = 50
+) -> StreamingQuery:
+    """Keeps the offsets of all records in ``offset_table``.
+
+    A late record closes its gap, a redelivered one changes nothing.
+    """
+
+    def process(batch: DataFrame, batch_id: int, writer: str) -> None:
+        table = offset_table(batch.sparkSession, root)
+        table.add(offset_ranges(batch), batch_id, writer)
+        if compact_every and batch_id and batch_id % compact_every == 0:
+            table.compact(batch_id - 1, writer)
+
+    return start_batches(records, process, checkpoint, once)
+
+
+def current_gaps(spark: SparkSession, root: str) -> DataFrame:
+    """Offsets that lie between seen ones and were not seen."""
+    return gap_events(offset_table(spark, root).current())

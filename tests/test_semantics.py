@@ -21,6 +21,7 @@ from letterlake.operators import (
     lifecycle,
     operational,
     quality,
+    ranges,
     retention,
     routing,
     staging,
@@ -543,7 +544,7 @@ def test_retention_keeps_the_boundary(spark):
 
 
 def test_offset_gaps_across_blocks(spark):
-    block = lifecycle.OFFSET_BLOCK
+    block = ranges.BLOCK
     offsets = [0, 1, 4, block - 1, block, block + 1, 3 * block + 5]
     df = spark.createDataFrame([("t", 0, o) for o in offsets], "topic string, partition int, offset long")
     gaps = {(r.first_missing, r.last_missing, r.missing) for r in lifecycle.offset_gaps(df).collect()}

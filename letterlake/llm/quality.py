@@ -1,13 +1,20 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney model of trusted text.
 
-The model is over characters, folded to 64 symbols; of a word that repeats the one before it, a mark
-and the last two letters stand, so that every further repeat is as unlikely as the first. All trusted documents are counted: tasks count their own n-grams, which are added up
-by n-gram. Lower orders count distinct predecessors; each order's counts are joined with the totals
-of their contexts, sharded by n-gram and context, to give discounted probabilities and back-off
-weights. Those tables cannot outgrow 64**4 entries, whatever the corpus, so they are laid out as one
-array of that size, from which every document is scored in place.
-
-A document goes when its perplexity is beyond its language's quantile among trusted documents.
+The model is over characters of every script, four at a time; white space and digits are one symbol
+each, and of a word that repeats the one before it, a mark and the last two letters stand, so that
+every further repeat is as unlikely as the first. Three of four trusted documents are counted, the
+fourth sets the thresholds. An n-gram is a
+row: a context of up to three symbols, packed into 63 bits, and the symbol after it; so the model grows
+with the trusted text and its alphabet, and nothing of it is held whole by the driver or a task.
+
+Documents are scored in blocks of some million characters. A block's different n-grams are counted
+in its task and become its questions; the questions of all blocks, each n-gram once, are joined with
+the discounted probabilities and the back-offs of their contexts, order by order, sharded by n-gram
+and context; the answers return to their blocks, where each document's are added up. So an n-gram
+travels once for a block and not once for a document, and a frequent one costs a row for a block.
+
+A document goes when its perplexity is beyond its language's quantile among trusted documents that
+the model has not seen.
 """
 
 from __future__ import annotations
@@ -16,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as compute
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,71 +32,126 @@ from letterlake.functions.sizes import broadcast_if_small
 from letterlake.llm.common import kept, table, text_or_empty, whole_rows
 
 ORDER = 4
-SYMBOLS = 64
-_BITS = 6
+_BITS = 21
+_POINTS = 0x110000
+# A block ends with the document that brings it to so many characters.
+BLOCK_CHARS = 4_000_000
+# Numbers below this are ranked by a table of all of them, others by sorting.
+_TABLE = 1 << 24
 # The share of trusted documents of a language that lies within its threshold, and the room above it.
 QUANTILE = 0.995
 MARGIN = 1.15
 # A document counts as so many symbols of typical text more than it has: short ones say little.
 PRIOR_SYMBOLS = 60
+# One of so many trusted documents sets thresholds; the others make the model.
+MEASURES = 4
 
 _REPEAT, _START = "\x01", "\x02"
+_PIECE = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.bool_()), ("counted", pa.bool_()), ("text", pa.string())])
 
 
 def _fold() -> np.ndarray:
-    codes = np.full(0x10000, SYMBOLS - 1, np.uint8)
-    singles = "abcdefghijklmnopqrstuvwxyz" + "ABCDEFGHIJKLMNOPQRSTUVWXYZ" + " .,-" + _REPEAT + _START
-    for i in range(0x80, 0x250):
-        codes[i] = len(singles) + chr(i).isupper()
-    for i, symbol in enumerate(singles):
-        codes[ord(symbol)] = i
+    codes = np.arange(_POINTS, dtype=np.uint32)
     for space in "\t\n\r\x0b\f":
-        codes[ord(space)] = codes[ord(" ")]
+        codes[ord(space)] = ord(" ")
     for digit in "0123456789":
-        codes[ord(digit)] = len(singles) + 2
+        codes[ord(digit)] = ord("0")
     return codes
 
 
 _CODES = _fold()
 
 
-def _symbols(text: str) -> np.ndarray:
+def symbols(text: str) -> np.ndarray:
     """The folded text after ORDER - 1 start marks."""
     words = text.split(" ")
     words[1:] = [_REPEAT + b[-2:] if b == a and a else b for a, b in zip(words, words[1:], strict=False)]
-    points = np.frombuffer((_START * (ORDER - 1) + " ".join(words)).encode("utf-32-le", "surrogatepass"), "<u4")
-    return _CODES[np.minimum(points, 0xFFFF)]
-
-
-def grams(text: str) -> np.ndarray:
-    """The n-gram that ends at each symbol, as a number."""
-    symbols = _symbols(text).astype(np.int32)
-    n = len(symbols) - ORDER + 1
-    found = symbols[:n].copy()
-    for i in range(1, ORDER):
-        found <<= _BITS
-        found |= symbols[i : i + n]
-    return found
-
+    return _CODES[np.frombuffer((_START * (ORDER - 1) + " ".join(words)).encode("utf-32-le", "surrogatepass"), "<u4")]
+
+
+def _ranked(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and the place of each value among them; all are below ``size``."""
+    if size > _TABLE:
+        return np.unique(values, return_inverse=True)
+    place = np.zeros(size, np.int32)
+    place[values] = 1
+    different = np.flatnonzero(place)
+    place[different] = np.arange(len(different), dtype=np.int32)
+    return different, place[values]
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(contexts, symbols, places, sizes): the different n-grams of the texts; for each symbol of each
+    text, one after the other, the place of its n-gram among them; how many symbols each text has."""
+    parts = [symbols(text) for text in texts]
+    sizes = np.array([len(part) - (ORDER - 1) for part in parts], np.int64)
+    # One n-gram begins at each place but the last ones of a text.
+    begins = np.ones(int(sizes.sum()) + (ORDER - 1) * len(parts), bool)
+    ends = np.cumsum(sizes + (ORDER - 1))
+    for back in range(1, ORDER):
+        begins[ends - back] = False
+    begins = np.flatnonzero(begins)
+    alphabet, numbers = _ranked(np.concatenate(parts or [np.zeros(0, np.uint32)]), _POINTS)
+    pairs, numbers = _ranked(numbers[:-1].astype(np.int64) * len(alphabet) + numbers[1:], len(alphabet) ** 2)
+    fours, places = _ranked(numbers[begins].astype(np.int64) * len(pairs) + numbers[begins + 2], len(pairs) ** 2)
+    left, right = pairs[fours // len(pairs)] if len(fours) else fours, pairs[fours % len(pairs)] if len(fours) else fours
+    one, two, three, last = (alphabet[x].astype(np.int64) if len(x) else x for half in (left, right) for x in (half // len(alphabet), half % len(alphabet)))
+    return (one << 2 * _BITS) | (two << _BITS) | three, last, places, sizes
+
+
+def _packed(block_chars: int):
+    """Rows of ``_PIECE`` as one compressed value for a block."""
+
+    def row(number: int, pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, _PIECE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+            for piece in pieces:
+                stream.write_batch(piece)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
 
-def count_grams(texts: DataFrame) -> DataFrame:
-    """(gram, n) over the column ``text``."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(SYMBOLS**ORDER, np.uint32)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, pieces, held = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                np.add.at(counts, grams(text), 1)
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(counts[seen].astype(np.int64))], names=["gram", "n"])
-
-    parts = texts.select("text").mapInArrow(count, "gram bigint, n bigint")
-    return parts.groupBy("gram").agg(F.sum("n").alias("n"))
+            batch = pa.RecordBatch.from_arrays([column.cast(kind) for column, kind in zip(batch.columns, _PIECE.types, strict=True)], schema=_PIECE)
+            # An empty text takes room too.
+            chars = np.cumsum(compute.utf8_length(batch.column("text")).to_numpy().astype(np.int64) + ORDER)
+            at = 0
+            while at < len(chars):
+                before = int(chars[at - 1]) if at else 0
+                end = min(int(np.searchsorted(chars, before + block_chars - held)) + 1, len(chars))
+                pieces.append(batch.slice(at, end - at))
+                held += int(chars[end - 1]) - before
+                at = end
+                if held >= block_chars:
+                    yield row(number, pieces)
+                    number, pieces, held = number + 1, [], 0
+        if pieces:
+            yield row(number, pieces)
+
+    return run
+
+
+def _opened(value: bytes) -> pa.Table:
+    return pa.ipc.open_stream(value).read_all()
+
+
+def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each n-gram of a block once, with its number among them and how often the counted documents have it."""
+    for batch in batches:
+        for block, value in zip(batch.column(0), batch.column(1), strict=True):
+            rows = _opened(value.as_py())
+            contexts, last, places, sizes = grams(rows["text"].to_pylist())
+            counted = np.repeat(rows["counted"].to_numpy(), sizes)
+            counts = np.bincount(places[counted], minlength=len(last))
+            arrays = [pa.array(np.full(len(last), block.as_py())), pa.array(np.arange(len(last), dtype=np.int32)), pa.array(contexts), pa.array(last.astype(np.int32)), pa.array(counts.astype(np.int64))]
+            whole = pa.RecordBatch.from_arrays(arrays, names=["block", "number", "context", "symbol", "n"])
+            for at in range(0, len(last), 50_000):
+                yield whole.slice(at, 50_000)
 
 
 def _discounts(counts: DataFrame) -> list[float]:
     """The three discounts of modified Kneser-Ney, for counts of one, two, and three or more."""
-    n = [counts.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first()[i] or 0 for i in range(4)]
+    n = [x or 0 for x in counts.agg(*[F.count_if(F.col("n") == i) for i in (1, 2, 3, 4)]).first()]
     if not all(n):
         return [0.5, 0.75, 0.9]
     y = n[0] / (n[0] + 2 * n[1])
@@ -95,82 +159,105 @@ def _discounts(counts: DataFrame) -> list[float]:
 
 
 def _order(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(gram, p): discounted probabilities; (context, backoff): what is left for the order below."""
-    counts = kept(counts, "gram-counts")
+    """(context, symbol, share): discounted probabilities; (context, backoff): what is left for the order below."""
     d = _discounts(counts)
     level = F.least("n", F.lit(3))
-    cut = F.when(level == 1, d[0]).when(level == 2, d[1]).otherwise(d[2])
-    counts = counts.select("gram", "n", cut.alias("cut"), F.shiftright("gram", _BITS).alias("context"))
+    counts = counts.withColumn("cut", F.when(level == 1, d[0]).when(level == 2, d[1]).otherwise(d[2]))
     totals = kept(counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum("cut").alias("freed")), "context-counts")
-    share = counts.join(totals, "context").select("gram", ((F.col("n") - F.col("cut")) / F.col("total")).alias("p"))
+    share = counts.join(totals, "context").select("context", "symbol", ((F.col("n") - F.col("cut")) / F.col("total")).alias("share"))
     return share, totals.select("context", (F.col("freed") / F.col("total")).alias("backoff"))
 
 
-def _columns(rows: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """A stored table of two columns (an index below SYMBOLS**ORDER, a number), a slice at a time."""
-    rows = kept(rows, "model-rows").toDF("at", "value")
-    slices = 1 + rows.count() // 500_000
-    for one in range(slices):
-        part = rows.where(F.pmod(F.xxhash64("at"), F.lit(slices)) == one).toArrow()
-        yield part["at"].to_numpy(), part["value"].to_numpy().astype(np.float32)
+def _shorter(length: int):
+    """The last ``length`` symbols of a context."""
+    return F.col("context").bitwiseAND(F.lit((1 << _BITS * length) - 1).cast("bigint"))
 
 
-def kneser_ney(counts: DataFrame) -> np.ndarray:
-    """Negative log2 probability of each n-gram's last symbol, for every possible n-gram.
+def probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
+    """(context, symbol, p) for the n-grams ``asked``, whether seen or not.
 
-    ``counts`` holds the n-grams of the highest order. Seen ones come from Spark, at most
-    SYMBOLS**ORDER rows; the rest is the back-off, filled in for whole arrays.
+    ``counts`` (context, symbol, n) holds the n-grams of the highest order in trusted text. A symbol
+    never seen there has the back-off of the lowest order: one symbol's share of the alphabet.
     """
-    counts = kept(counts, "counts")
-    orders = [counts]
-    for k in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND((1 << _BITS * k) - 1)
+    orders = [kept(counts, "counts")]
+    wanted = [kept(asked, "asked")]
+    for length in range(ORDER - 2, -1, -1):
         # How many different symbols come before: one row each in the order above.
-        orders.append(kept(orders[-1].groupBy(suffix.alias("gram")).agg(F.count("*").alias("n")), "suffix-counts"))
-    lower = np.full(1, 1 / SYMBOLS, np.float32)
-    for k, table_ in enumerate(reversed(orders), 1):
-        share, backoff = _order(table_)
-        left = np.ones(SYMBOLS ** (k - 1), np.float32)
-        for context, rest in _columns(backoff):
-            left[context] = rest
-        # The order below, by the symbols after the first; for k = 1 the uniform distribution. One array is made.
-        below = lower.reshape(1, -1, SYMBOLS) if k > 1 else np.full((1, 1, SYMBOLS), lower[0], np.float32)
-        lower = (left.reshape(-1, below.shape[1], 1) * below).reshape(-1)
-        for gram, p in _columns(share):
-            lower[gram] += p
-    np.log2(lower, out=lower)
-    np.negative(lower, out=lower)
-    # Half precision keeps the array, which every worker holds, at 32 MB.
-    return lower.astype(np.float16)
-
-
-def score(docs: DataFrame, bits: np.ndarray, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, lang, n_symbols, bits): the model's bits for each whole text."""
-    model = docs.sparkSession.sparkContext.broadcast(bits)
+        below = orders[-1].groupBy(_shorter(length).alias("context"), "symbol").agg(F.count("*").alias("n"))
+        orders.append(kept(below, "suffix-counts"))
+        wanted.append(kept(wanted[-1].select(_shorter(length).alias("context"), "symbol").distinct(), "suffix-asked"))
+    uniform = 1 / (orders[-1].count() + 1)
+    found = None
+    for length, (seen, rows) in enumerate(zip(reversed(orders), reversed(wanted), strict=True)):
+        share, backoff = _order(seen)
+        if found is None:
+            rows = rows.withColumn("lower", F.lit(uniform))
+        else:
+            lower = found.select(F.col("context").alias("_context"), F.col("symbol").alias("_symbol"), F.col("p").alias("lower"))
+            rows = rows.join(lower, (_shorter(length - 1) == F.col("_context")) & (F.col("symbol") == F.col("_symbol"))).drop("_context", "_symbol")
+        rows = rows.join(share, ["context", "symbol"], "left").join(backoff, "context", "left")
+        p = F.coalesce("share", F.lit(0.0)) + F.coalesce("backoff", F.lit(1.0)) * F.col("lower")
+        found = kept(rows.select("context", "symbol", p.alias("p")), "probabilities")
+    return found
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.value[grams(text)] for text in batch.column(2).to_pylist()]
-            sizes, sums = [len(x) for x in found], [float(x.sum(dtype=np.float64)) for x in found]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())], names=["doc_id", "lang", "n_symbols", "bits"])
 
-    source = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text_or_empty(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id bigint, lang string, n_symbols bigint, bits double")
+def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition by block, its answers before its documents."""
+    block, parts = None, []
+    for batch in batches:
+        blocks, rows = batch.column(0).to_numpy(), batch.column(3)
+        cuts = np.flatnonzero(np.diff(blocks)) + 1
+        for start, end in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
+            if start == end:
+                continue
+            if blocks[start] != block:
+                block, parts = blocks[start], []
+            # A block's documents are one row, the last.
+            last = end - int(rows[end - 1].is_valid)
+            parts.append([batch.column(at).slice(start, last - start).to_numpy(zero_copy_only=False) for at in (1, 2)])
+            if last == end:
+                continue
+            numbers, answers = (np.concatenate(x) for x in zip(*parts, strict=True))
+            bits = np.zeros(len(numbers))
+            bits[numbers.astype(np.int64)] = answers
+            docs = _opened(rows[last].as_py())
+            _, _, places, sizes = grams(docs["text"].to_pylist())
+            sums = np.concatenate(([0.0], np.cumsum(bits[places]) if len(places) else []))
+            ends = np.cumsum(sizes)
+            found = [docs[name].combine_chunks() for name in ("doc_id", "lang", "trusted", "counted")]
+            yield pa.RecordBatch.from_arrays([*found, pa.array(sizes), pa.array(sums[ends] - sums[ends - sizes])], names=["doc_id", "lang", "trusted", "counted", "n_symbols", "bits"])
+
+
+def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """(doc_id, lang, trusted, counted, n_symbols, bits) of documents (doc_id, lang, trusted, counted, text):
+    the bits of each whole text under the model of the counted ones."""
+    blocks = kept(docs.select(*_PIECE.names).mapInArrow(_packed(block_chars), "block bigint, rows binary"), "text-blocks")
+    questions = kept(blocks.mapInArrow(_questions, "block bigint, number int, context bigint, symbol int, n bigint"), "questions")
+    once = kept(questions.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "grams")
+    found = probabilities(once.where("n > 0"), once.select("context", "symbol"))
+    answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).alias("bits"))
+    both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(blocks, allowMissingColumns=True)
+    both = both.select("block", "number", "bits", "rows").repartition("block").sortWithinPartitions("block", F.col("rows").isNotNull())
+    return both.mapInArrow(_scored, "doc_id bigint, lang string, trusted boolean, counted boolean, n_symbols bigint, bits double")
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """One row per document: doc_id, lang, n_symbols, perplexity, threshold, kept.
 
-    Trusted are the documents whose label has quality 1; each counts as often as its id has rows. The
-    perplexity of an empty or null text is the prior's. A language without trusted documents, or a
+    Trusted are the documents whose label has quality 1; each counts as often as its id has rows. One id
+    in ``MEASURES`` is not counted but sets the thresholds, as the model knows the others too well; where
+    there is none such, all trusted documents set them. The perplexity of an empty or null text is the prior's. A language without such documents, or a
     null one, takes the threshold of all; without any trusted text there is no threshold and all is
     kept. Rows without an id are judged, never trusted.
     """
-    trusted = broadcast_if_small(kept(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct(), "trusted"))
-    docs = docs.select("doc_id", "text", "lang")
-    texts = docs.join(trusted, F.col("doc_id") == F.col("_id"), "left_semi").select(text_or_empty("text").alias("text"))
-    scores = kept(score(docs, kneser_ney(count_grams(texts))), "scores")
-    basis = scores.join(trusted, scores.doc_id == F.col("_id"), "left_semi").where("n_symbols > 0")
+    trusted = broadcast_if_small(kept(labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("bigint").alias("_id")).distinct(), "trusted"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
+    marked = docs.join(trusted, F.col("doc_id") == F.col("_id"), "left").withColumn("trusted", F.col("_id").isNotNull())
+    measure = F.crc32(F.col("doc_id").cast("string")) % MEASURES == 0
+    scores = kept(score(marked.withColumn("counted", F.col("trusted") & ~measure)), "scores")
+    basis = scores.where("trusted and not counted and n_symbols > 0")
+    if basis.isEmpty():
+        basis = scores.where("trusted and n_symbols > 0")
     typical = basis.agg(F.sum("bits") / F.sum("n_symbols")).first()[0] or 0.0
     mean = (F.col("bits") + PRIOR_SYMBOLS * typical) / (F.col("n_symbols") + PRIOR_SYMBOLS)
     limit = (F.percentile_approx(F.pow(F.lit(2.0), mean), quantile, 10_000) * margin).alias("threshold")

@@ -35,7 +35,7 @@ ORDER = 4
 _BITS = 21
 _POINTS = 0x110000
 # A block ends with the document that brings it to so many characters.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 6_000_000
 # Numbers below this are ranked by a table of all of them, others by sorting.
 _TABLE = 1 << 24
 # The share of trusted documents of a language that lies within its threshold, and the room above it.
@@ -104,7 +104,7 @@ def _packed(block_chars: int):
 
     def row(number: int, pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
         sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _PIECE, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        with pa.ipc.new_stream(sink, _PIECE, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as stream:
             for piece in pieces:
                 stream.write_batch(piece)
         return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
@@ -232,10 +232,11 @@ def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, lang, trusted, counted, n_symbols, bits) of documents (doc_id, lang, trusted, counted, text):
     the bits of each whole text under the model of the counted ones."""
     blocks = kept(docs.select(*_PIECE.names).mapInArrow(_packed(block_chars), "block bigint, rows binary"), "text-blocks")
-    questions = kept(blocks.mapInArrow(_questions, "block bigint, number int, context bigint, symbol int, n bigint"), "questions")
+    # Asked twice, as that costs less than to store the questions: a block's are always the same.
+    questions = blocks.mapInArrow(_questions, "block bigint, number int, context bigint, symbol int, n bigint")
     once = kept(questions.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "grams")
     found = probabilities(once.where("n > 0"), once.select("context", "symbol"))
-    answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).alias("bits"))
+    answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).cast("float").alias("bits"))
     both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(blocks, allowMissingColumns=True)
     both = both.select("block", "number", "bits", "rows").repartition("block").sortWithinPartitions("block", F.col("rows").isNotNull())
     return both.mapInArrow(_scored, "doc_id bigint, lang string, trusted boolean, counted boolean, n_symbols bigint, bits double")

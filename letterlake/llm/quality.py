@@ -35,9 +35,10 @@ ORDER = 4
 _BITS = 21
 _POINTS = 0x110000
 # A block ends with the document that brings it to so many characters.
-BLOCK_CHARS = 6_000_000
-# Numbers below this are ranked by a table of all of them, others by sorting.
-_TABLE = 1 << 24
+BLOCK_CHARS = 4_000_000
+# Different numbers below this are told by a table of all of them, others by sorting slices.
+_TABLE = 1 << 26
+_SLICE = 1 << 19
 # The share of trusted documents of a language that lies within its threshold, and the room above it.
 QUANTILE = 0.995
 MARGIN = 1.15
@@ -71,13 +72,25 @@ def symbols(text: str) -> np.ndarray:
 
 def _ranked(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The different values in order, and the place of each value among them; all are below ``size``."""
-    if size > _TABLE:
-        return np.unique(values, return_inverse=True)
-    place = np.zeros(size, np.int32)
-    place[values] = 1
-    different = np.flatnonzero(place)
-    place[different] = np.arange(len(different), dtype=np.int32)
-    return different, place[values]
+    slices = [values[at : at + _SLICE] for at in range(0, len(values), _SLICE)]
+    if size <= _TABLE:
+        seen = np.zeros(size, bool)
+        seen[values] = True
+        different = np.flatnonzero(seen).astype(values.dtype)
+    else:
+        different = np.unique(np.concatenate([np.unique(part) for part in slices] or [values]))
+    places = np.empty(len(values), np.int32)
+    for at, part in enumerate(slices):
+        places[at * _SLICE : at * _SLICE + len(part)] = np.searchsorted(different, part)
+    return different, places
+
+
+def _joined(left: np.ndarray, right: np.ndarray, n: int) -> np.ndarray:
+    """Two numbers below ``n`` as one, in the narrower type that holds it."""
+    joined = left.astype(np.int32 if n * n < 1 << 31 else np.int64)
+    joined *= n
+    joined += right
+    return joined
 
 
 def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -90,10 +103,12 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     ends = np.cumsum(sizes + (ORDER - 1))
     for back in range(1, ORDER):
         begins[ends - back] = False
-    begins = np.flatnonzero(begins)
     alphabet, numbers = _ranked(np.concatenate(parts or [np.zeros(0, np.uint32)]), _POINTS)
-    pairs, numbers = _ranked(numbers[:-1].astype(np.int64) * len(alphabet) + numbers[1:], len(alphabet) ** 2)
-    fours, places = _ranked(numbers[begins].astype(np.int64) * len(pairs) + numbers[begins + 2], len(pairs) ** 2)
+    del parts
+    # The last ones of all texts begin nothing, so pairs of pairs are fewer by as many.
+    begins = begins[: max(len(numbers) - (ORDER - 1), 0)]
+    pairs, numbers = _ranked(_joined(numbers[:-1], numbers[1:], len(alphabet)), len(alphabet) ** 2)
+    fours, places = _ranked(_joined(numbers[:-2][begins], numbers[2:][begins], len(pairs)), len(pairs) ** 2)
     left, right = pairs[fours // len(pairs)] if len(fours) else fours, pairs[fours % len(pairs)] if len(fours) else fours
     one, two, three, last = (alphabet[x].astype(np.int64) if len(x) else x for half in (left, right) for x in (half // len(alphabet), half % len(alphabet)))
     return (one << 2 * _BITS) | (two << _BITS) | three, last, places, sizes

@@ -637,7 +637,11 @@ _LIFECYCLE_UPSERT = f"""
     from fact"""
 
 QUERIES = {
-    "src_topic_text": "select topic, value from lifecycle where value is not null",
+    "src_topic_text": """
+        select topic, partition, row_number() over (partition by partition order by writer, value) - 1 as "offset", value
+        from (select topic, value, cast('0x' || substr(md5(value), 1, 8) as bigint) % 12 as partition,
+                cast('0x' || substr(md5(value), 9, 4) as bigint) % 2 as writer
+            from lifecycle where value is not null)""",
     "src_lakehouse_tables": """
         select 'landing_events' as relation, count(*) as documents from landing
         union all select 'dim_customer_tenant', count(*) from tenants
@@ -765,6 +769,11 @@ QUERIES = {
     "retention_tiers": """select tier, count(*) as events from (select case
         when age <= 7 * 86400 then 'hot' when age <= 30 * 86400 then 'warm' else 'cold' end as tier
         from (select epoch(timestamp '2024-02-01 00:00:00') - floor(epoch(event_ts)) as age from landing)) group by tier""",
+    "stored_retention": """select event_id, event_ts from landing
+        where event_ts >= timestamp '2024-02-01 00:00:00' - interval 7 days""",
+    "stored_tiers": """select event_date, count(*) as events, case
+            when event_date >= date '2024-02-01' - 7 then 'hot' when event_date >= date '2024-02-01' - 30 then 'warm'
+            else 'cold' end as tier from landing group by all""",
     "dq_not_null": _row_checks("not_null"),
     "dq_not_empty": _row_checks("not_empty"),
     "dq_non_negative": _row_checks("non_negative"),

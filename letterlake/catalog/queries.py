@@ -31,8 +31,9 @@ from letterlake.operators import (
 )
 from letterlake.plans import graph, marts, semantic
 from letterlake.session import scratch_path, use_utc
-from letterlake.sinks import tables
-from letterlake.sinks.commits import Snapshot, TableLog
+from letterlake.sinks import expiry, letter_index, tables
+from letterlake.sinks.commits import Change, Snapshot, TableLog
+from letterlake.sinks.topic_log import TopicLog
 from letterlake.sinks.topics import published
 from letterlake.sources import lakehouse, topics
 from letterlake.streaming import landing as landing_stream
@@ -127,7 +128,13 @@ def src_topic_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "topic")
     lines = inputs.lifecycle_topic(spark, sf_dir).where(F.col("value").isNotNull())
     lines.select("value").write.text(path)
-    return topics.read_topic(spark, topics.RAW.name, path=path).select("topic", "value")
+    # Two writers number half of the lines each; what the first one sends again changes nothing.
+    pairs = topics.read_topic(spark, topics.RAW.name, path=path).select("key", "value")
+    half = F.expr("cast(conv(substring(md5(value), 9, 4), 16, 10) as bigint) % 2")
+    log = TopicLog(spark, scratch_path(spark, "numbered"), topics.RAW)
+    for writer in (0, 1, 0):
+        log.append(pairs.where(half == writer), 0, writer=f"writer-{writer}")
+    return log.read().select("topic", "partition", "offset", "value")
 
 
 @query
@@ -171,7 +178,9 @@ def dead_letter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dead_letter_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decode.search_dead_letters(dead(spark, sf_dir), "malformed_non_json_101")
+    root = scratch_path(spark, "letters")
+    landing_stream.land_batch(inputs.lifecycle_topic(spark, sf_dir), 0, root, refresh=False)
+    found = letter_index.search(spark, root, "malformed_non_json_101")
     return found.select("raw_payload", "kafka_partition", "kafka_offset")
 
 
@@ -616,6 +625,31 @@ def retention_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers.groupBy("tier").agg(F.count("*").alias("events"))
 
 
+def _stored_landing(spark: SparkSession, sf_dir: str) -> TableLog:
+    log = TableLog(spark, scratch_path(spark, "expiry"))
+    days = inputs.landing_events(spark, sf_dir).hint("rebalance", "event_date").sortWithinPartitions("event_date", "tenant_id")
+    added = log.write(days, landing_stream.LANDED, "event_date")
+    log.transact(lambda _: Change(add=[added]))
+    return log
+
+
+@query
+def stored_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the stored events after expiry."""
+    log = _stored_landing(spark, sf_dir)
+    now = expiry.expire(log, landing_stream.LANDED, schemas.LANDING, topics.RAW.retention, PROCESSING_TIME, sort=("tenant_id",))
+    return log.read(now, landing_stream.LANDED, schemas.LANDING).select("event_id", "event_ts")
+
+
+@query
+def stored_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by the tier their day has moved to."""
+    log = _stored_landing(spark, sf_dir)
+    expiry.move_tiers(log, landing_stream.LANDED, schemas.LANDING, PROCESSING_TIME, sort=("tenant_id",))
+    tiers = expiry.read_tiers(log, landing_stream.LANDED, schemas.LANDING)
+    return tiers.groupBy("tier", "event_date").agg(F.count("*").alias("events"))
+
+
 # Checks are counted while the layer is written. The layer is built once per session and input.
 
 _LAYERS: dict[tuple[str, str], str] = {}

@@ -81,10 +81,14 @@ def split_dead_letters(topic: DataFrame) -> tuple[DataFrame, DataFrame]:
 _TOKEN = r"[\p{L}\p{N}_]++(?:[.'’][\p{L}\p{N}_]++)*+"
 
 
+def token_list(text: Column) -> Column:
+    """The lower-case tokens of a text in order."""
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
+
+
 def _tokens(text: Column) -> Column:
     """The lower-case tokens of a text, each between spaces."""
-    found = F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
-    return F.concat(F.lit(" "), F.array_join(found, " "), F.lit(" "))
+    return F.concat(F.lit(" "), F.array_join(token_list(text), " "), F.lit(" "))
 
 
 def search_dead_letters(documents: DataFrame, phrase: str) -> DataFrame:

@@ -77,9 +77,6 @@ DEAD_LETTER = T.StructType(
     ]
 )
 
-# A topic kept as a folder, as the streams publish it.
-PUBLISHED = strings("key", "value", "topic")
-
 CDC_CHANGE = T.StructType(
     [
         T.StructField(

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from letterlake.schemas import PUBLISHED
-from letterlake.sinks.tables import WRITER, read_batches, write_batch
+from letterlake.sinks.tables import WRITER
+from letterlake.sinks.topic_log import TopicLog
 from letterlake.sources.topics import Topic
 
 
@@ -31,7 +30,7 @@ def publish(
 ) -> None:
     """Writes to Kafka (at least once) or to the topic's folder under ``root``.
 
-    In a folder a replayed batch replaces itself and leaves other writers' records alone.
+    In a folder records get offsets in the order of their keys; a replayed batch changes nothing.
     """
     if servers:
         (
@@ -44,10 +43,9 @@ def publish(
         return
     if not root:
         raise ValueError("give Kafka servers or a folder")
-    records = pairs.select("key", "value", F.lit(topic.name).alias("topic"))
-    write_batch(records, f"{root}/{topic.name}", batch_id, writer=writer)
+    TopicLog(pairs.sparkSession, root, topic).append(pairs, batch_id, writer=writer)
 
 
 def published(spark: SparkSession, root: str, topic: Topic) -> DataFrame:
     """The records that all writers have published to a topic's folder."""
-    return read_batches(spark, f"{root}/{topic.name}", PUBLISHED).select("key", "value")
+    return TopicLog(spark, root, topic).read().select("key", "value")

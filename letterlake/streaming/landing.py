@@ -5,6 +5,7 @@ Below the root folder, under one commit log (``sinks.commits``):
 ``landing``       good events by day, one row per event id, by tenant in the files
 ``event_ids``     the ids that have landed (``streaming.ledger``)
 ``activity``      rollups by day: counts and first/last times per key
+``dead_letter_tokens``   where which token stands in the dead letters (``sinks.letter_index``)
 ``dim_customer_*``, ``fct_daily_customer_delivery``   the refreshed dimensions and daily fact
 
 and beside it ``dead_letters/writer=/batch_id=``, what could not land, replaced when a batch is replayed.
@@ -40,6 +41,7 @@ from letterlake.operators.decode import (
 )
 from letterlake.operators.latest import first_by
 from letterlake.schemas import ENVELOPE_FIELDS, LANDING
+from letterlake.sinks import letter_index
 from letterlake.sinks.commits import FAN, Change, Snapshot, TableLog
 from letterlake.sinks.tables import WRITER, write_batch
 from letterlake.sources.lakehouse import SOURCE_TABLES
@@ -114,6 +116,7 @@ def land_batch(
                 log.write(_by_tenant(events), LANDED, "event_date"),
                 ledger.record(log, events),
                 log.write(_rolled_up(events).hint("rebalance", "event_date"), ACTIVITY, "event_date"),
+                letter_index.record(log, rejected, batch_id, writer),
             ]
         finally:
             events.unpersist()
@@ -158,6 +161,7 @@ def compact(spark: SparkSession, root: str, fan: int = FAN) -> None:
     log = TableLog(spark, root)
     log.compact(LANDED, LANDING, "event_date", _by_tenant, fan)
     ledger.compact(log, fan)
+    letter_index.compact(log, fan)
     activity_table(spark, root).compact(fan)
 
 

@@ -18,14 +18,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letterlake.llm.common import table, text_or_empty
-from letterlake.llm.html_blocks import HIDDEN, Block, blocks
+from letterlake.llm.html_blocks import Block, blocks
 
-# Training: pages of the grammar, given pages at most, blocks of a page at most, rounds.
-GRAMMAR_PAGES = 160
+# Training: pages of the grammar, given pages at most and how much one counts beside a page of the grammar
+# (a corpus may know a single layout), characters of a given page and blocks of a page at most, rounds.
+GRAMMAR_PAGES = 480
 SAMPLE_PAGES = 100
+SAMPLE_WEIGHT = 0.25
+SAMPLE_CHARS = 1_000_000
 TRAIN_BLOCKS = 80
 ROUNDS = 200
-_SLOTS = 4096
+_SLOTS = 1 << 16
 
 
 def features(block: Block) -> list[str]:
@@ -33,6 +36,11 @@ def features(block: Block) -> list[str]:
     for tag, marks in block.path:
         found.add(f"in {tag}")
         found.update(f"word {mark.removesuffix('s')}" for mark in marks)
+    # The innermost named element often says more than those around it.
+    for _, marks in reversed(block.path):
+        if marks:
+            found.update(f"near {mark.removesuffix('s')}" for mark in marks)
+            break
     text, n = block.text, len(block.text)
     found.add(f"length {min(n.bit_length(), 9)}")
     found.add(f"links {4 * block.linked // max(n, 1)}")
@@ -65,8 +73,10 @@ def _grammar(rng: random.Random) -> list[tuple[str, int]]:
         """A box named by class or id, or by its tag."""
         name, tag = rng.choice(names.split()), rng.choice(tags.split())
         place = rng.choice(["class", "class", "id"])
-        extra = rng.choice(["", "", f" {word()}", " box"])
-        return f'<{tag} {place}="{name}{extra}">{junk_body()}</{tag}>'
+        usual = rng.choice("area bar block box container inner item list module panel section widget wrap wrapper".split())
+        extra = rng.choice(["", "", f" {word()}", " box", f"-{usual}", f"-{usual}", f" {name}-{usual}"])
+        prefix = rng.choice(["", "", "", "site-", "page-", "main-", "global-"])
+        return f'<{tag} {place}="{prefix}{name}{extra}">{junk_body()}</{tag}>'
 
     boxes = {
         "menu": lambda: rng.choice([f"<nav>{links()}</nav>", part("nav menu navbar navigation breadcrumb breadcrumbs topnav", "div ul nav")]),
@@ -81,7 +91,9 @@ def _grammar(rng: random.Random) -> list[tuple[str, int]]:
     some = lambda *names: [(boxes[n](), 0) for n in names if rng.random() < 0.45]
 
     def body() -> list[tuple[str, int]]:
-        out: list[tuple[str, int]] = [(f"<h1>{line(2, 12).capitalize()}</h1>", 1)] if rng.random() < 0.85 else []
+        # An article's own header is its headline; the page's is none of the article.
+        left, right = rng.choice([("", "")] * 5 + [("<header>", "</header>"), ('<div class="header">', "</div>")])
+        out = [(f"{left}<h1>{line(2, 12).capitalize()}</h1>{right}", 1)] if rng.random() < 0.85 else []
         for _ in range(rng.randint(1, 9)):
             kind = rng.random()
             if kind < 0.55:
@@ -100,15 +112,33 @@ def _grammar(rng: random.Random) -> list[tuple[str, int]]:
                 out += some("advert", "side", "notice", "form")
         return out
 
-    opening, closing = rng.choice(
-        [("<article>", "</article>")] * 4
-        + [("<main>", "</main>"), ("<main><article>", "</article></main>")]
-        + [(f'<div {p}="{n}">', "</div>") for p in ("class", "id") for n in ("content", "article", "post", "entry-content", "story", "main", "article-body")]
-    )
+    # An article's own names may hold any word, also one that a box around no article would have.
+    junk = rng.choice("ad comment cookie footer form header menu nav newsletter notice promo related search share sidebar social tag".split())
+    odd = rng.choice([f"{junk}-{word()}", f"{word()}-{junk}", f"{junk}-{word()}-{word()}", word(), f"{word()}-{word()}"])
+    plain = lambda name: rng.choice([(f'<div {p}="{name}">', "</div>") for p in ("class", "id")] + [(f'<section class="{name}">', "</section>")])
+    named = plain(rng.choice("content article post entry entry-content story main article-body post-body text body-text page-content".split()))
+    neutral = plain(odd if rng.random() < 0.5 else rng.choice("wrap wrapper container page inner row column col-8 layout site center".split()))
+    kind = rng.random()
+    if kind < 0.25:
+        opening, closing = "<article>", "</article>"
+    elif kind < 0.35:
+        opening, closing = rng.choice([("<main>", "</main>"), ("<main><article>", "</article></main>"), (f'<article class="{odd}">', "</article>")])
+    elif kind < 0.55:
+        opening, closing = named
+    elif kind < 0.65:
+        opening, closing = f"<main>{neutral[0]}", f"{neutral[1]}</main>"
+    elif kind < 0.9:
+        opening, closing = neutral
+    else:
+        opening, closing = "", ""
+    # Around the article alone, or around the whole page.
+    outer = plain(odd if rng.random() < 0.3 else rng.choice("wrap wrapper container page site layout".split())) if rng.random() < 0.4 else ("", "")
+    if rng.random() < 0.5:
+        opening, closing, outer = outer[0] + opening, closing + outer[1], ("", "")
     head = f"<!DOCTYPE html><html><head><title>{line(2, 8)}</title><style>p{{margin:0}}</style><script>var a='<p>'</script></head><body>"
     return [
-        (head, 0), *some("notice", "header", "menu", "advert", "side", "form", "menu"), (opening, 0), *body(), *some("comments", "side", "advert"), (closing, 0),
-        *some("comments", "side", "advert", "form", "notice", "footer"), *([(boxes["footer"](), 0)] if rng.random() < 0.7 else []),
+        (head + outer[0], 0), *some("notice", "header", "menu", "advert", "side", "form", "menu"), (opening, 0), *body(), *some("comments", "side", "advert"), (closing, 0),
+        *some("comments", "side", "advert", "form", "notice", "footer"), *([(boxes["footer"](), 0)] if rng.random() < 0.7 else []), (outer[1], 0),
     ]
 
 
@@ -119,42 +149,50 @@ def _known(parts: list[tuple[str, int]]) -> list[tuple[list[int], int]]:
     for block in blocks(marked):
         label = int("\x01" in block.text)
         block.text = block.text.replace("\x01", "").strip()
-        if block.text and not any(tag == "title" for tag, _ in block.path):
+        if block.text and block.shown:
             out.append((_slots(block), label))
     return out
 
 
 def _self_labelled(page: str) -> list[tuple[list[int], int]]:
     """Blocks of a page that marks its article, with the label its landmarks give; else none."""
-    found = [b for b in blocks(page) if not any(tag == "head" for tag, _ in b.path)]
+    found = [b for b in blocks(page) if b.shown]
     inside = [any(tag == "article" for tag, _ in b.path) for b in found]
     if not any(inside):
         return []
     marks = {"nav", "aside", "footer", "header", "form"}
-    words = {"ad", "ads", "advert", "comment", "comments", "sidebar", "cookie", "notice"}
+    words = {"ad", "ads", "advert", "comment", "comments", "comment-list", "sidebar", "cookie", "cookie-banner", "notice"}
     labels = [int(i and not any(tag in marks or words & set(m) for tag, m in b.path)) for i, b in zip(inside, found, strict=True)]
     return [(_slots(b), label) for b, label in zip(found, labels, strict=True)]
 
 
-def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """Weights (slot, label) and transitions (label, label) that maximise the labels' likelihood."""
+def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS, counts: list[float] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (slot, label) and transitions (label, label) that maximise the labels' likelihood.
+
+    ``counts`` is how much each chain counts, 1 by default.
+    """
+    counts = [1.0] * len(chains) if counts is None else counts
+    much = np.array([count for chain, count in zip(chains, counts, strict=True) if chain])[:, None, None]
     chains = [chain[:TRAIN_BLOCKS] for chain in chains if chain]
     used = sorted({s for chain in chains for slots, _ in chain for s in slots})
     column = {s: i for i, s in enumerate(used)}
     longest = max(map(len, chains), default=0)
-    x = np.zeros((len(chains), longest, len(used)), np.float32)
+    x = np.zeros((sum(map(len, chains)), len(used)), np.float32)
     y, here = np.zeros((len(chains), longest), np.int64), np.zeros((len(chains), longest), bool)
+    row = 0
     for i, chain in enumerate(chains):
         for j, (slots, label) in enumerate(chain):
-            x[i, j, [column[s] for s in slots]] = 1
+            x[row, [column[s] for s in slots]] = 1
             y[i, j], here[i, j] = label, True
+            row += 1
     w, moves = np.zeros((len(used), 2)), np.zeros((2, 2))
     state = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(moves), np.zeros_like(moves)]
     truth = np.eye(2)[y] * here[..., None]
     pairs = here[:, 1:]
-    true_moves = np.einsum("bti,btj->ij", truth[:, :-1] * pairs[..., None], truth[:, 1:])
+    true_moves = np.einsum("bti,btj->ij", truth[:, :-1] * pairs[..., None] * much, truth[:, 1:])
     for step in range(1, rounds + 1):
-        scores = x @ w
+        scores = np.zeros((len(chains), longest, 2))
+        scores[here] = x @ w.astype(np.float32)
         forward, backward = np.zeros_like(scores), np.zeros_like(scores)
         if longest:
             forward[:, 0] = scores[:, 0]
@@ -167,8 +205,8 @@ def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS) -> tu
         total = np.logaddexp.reduce(forward[:, -1], axis=1)
         single = np.exp(forward + backward - total[:, None, None]) * here[..., None]
         double = forward[:, :-1, :, None] + moves + (scores[:, 1:] + backward[:, 1:])[:, :, None, :] - total[:, None, None, None]
-        expected = (np.exp(double) * pairs[..., None, None]).sum((0, 1))
-        grads = [np.einsum("btf,btk->fk", x, truth - single, optimize=True) - 0.05 * w, true_moves - expected - 0.05 * moves]
+        expected = (np.exp(double) * pairs[..., None, None] * much[..., None]).sum((0, 1))
+        grads = [x.T @ ((truth - single) * much)[here].astype(np.float32) - 0.05 * w, true_moves - expected - 0.05 * moves]
         for k, (value, grad) in enumerate(zip((w, moves), grads, strict=True)):
             state[2 * k] = 0.9 * state[2 * k] + 0.1 * grad
             state[2 * k + 1] = 0.99 * state[2 * k + 1] + 0.01 * grad**2
@@ -192,7 +230,7 @@ def decode(scores: np.ndarray, moves: np.ndarray) -> list[int]:
 
 
 def main_text(page: str, weights: np.ndarray, moves: np.ndarray) -> str:
-    found = [b for b in blocks(page) if not any(tag == "head" or HIDDEN in marks for tag, marks in b.path)]
+    found = [b for b in blocks(page) if b.shown]
     if not found:
         return ""
     labels = decode(np.array([weights[_slots(b)].sum(axis=0) for b in found]), moves)
@@ -200,11 +238,18 @@ def main_text(page: str, weights: np.ndarray, moves: np.ndarray) -> str:
 
 
 def fit(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample: int = SAMPLE_PAGES) -> tuple[np.ndarray, np.ndarray]:
-    """A field trained on the grammar and on the ``sample`` given pages with the smallest ids."""
+    """A field trained on the grammar and on up to ``sample`` given pages, those with the smallest ids.
+
+    Pages of more than ``SAMPLE_CHARS`` characters and of no id are not trained on; all are extracted.
+    """
     rng = random.Random(7)
     chains = [_known(_grammar(rng)) for _ in range(GRAMMAR_PAGES)]
-    given = pages.where(F.col(html_col).isNotNull()).orderBy(id_col).limit(sample).select(html_col).collect()
-    return train(chains + [_self_labelled(page) for (page,) in given])
+    usable = pages.where(F.col(id_col).isNotNull() & (F.length(html_col) <= SAMPLE_CHARS)).select(F.col(id_col).alias("id"), F.col(html_col).alias("html"))
+    # The ids first: pages of other ids never leave their tasks.
+    ids = [row.id for row in usable.select("id").distinct().orderBy("id").limit(sample).collect()]
+    given = [row.html for row in usable.where(F.col("id").isin(ids)).limit(sample).collect()] if ids else []
+    own = [_self_labelled(page) for page in given]
+    return train(chains + own, counts=[1.0] * len(chains) + [SAMPLE_WEIGHT] * len(own))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", model: tuple[np.ndarray, np.ndarray] | None = None) -> DataFrame:

@@ -6,6 +6,9 @@ suffix, and a prior from its host. Declarations and suffixes are as telling as t
 often each goes with each language is counted over all pages. Host priors are smoothed in a
 hierarchy, a host by its domain, a domain by all pages; a page's own text does not count in its host's
 prior. The counts are grouped sums, combined in the map tasks, so a huge host is one row per language.
+
+The text model is rows of (language, n-gram, count). It is applied to the pages by blocks of languages,
+so that however many there are, the driver and each worker hold one block.
 """
 
 from __future__ import annotations
@@ -26,10 +29,16 @@ GRAM_BYTES = 3
 TEXT_TEMPER = 8.0
 # How many pages' worth of the level above a host, a domain, a declaration or a suffix starts with.
 HOST_PRIOR, DOMAIN_PRIOR, SIGNAL_PRIOR = 4.0, 8.0, 5.0
-# Languages are at most this many, those with most documents; it bounds the model's size.
-MAX_LANGUAGES = 256
+# Languages whose n-grams are held at once: 256 kB each.
+LANGUAGE_BLOCK = 32
 
-_HIDDEN = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^>]*>|&[#A-Za-z0-9]+;", re.S | re.I)
+# A tag holds no other, so that one that never ends is looked at once.
+_HIDDEN = re.compile(r"<(script|style|noscript|template)\b.*?(?:</\1\s*>|\Z)|<!--.*?(?:-->|\Z)|<[^<>]*+>|&[#A-Za-z0-9]+;", re.S | re.I)
+# Where a page declares its language: in its first tag or as the header it would be sent with.
+_DECLARED = (
+    r"(?is)<html\b[^<>]*?(?<![\w-])lang\s*=\s*[\"']?([A-Za-z]{2,8})",
+    r"(?is)<meta\b(?=[^<>]*\bhttp-equiv\s*=\s*[\"']?content-language)[^<>]*?(?<![\w-])content\s*=\s*[\"']?\s*([A-Za-z]{2,8})",
+)
 
 
 def _grams(text: str) -> np.ndarray:
@@ -48,47 +57,66 @@ def visible(page: str) -> str:
     return _HIDDEN.sub(" ", page)
 
 
-def text_model(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """(languages, log2 likelihood of each n-gram bucket): counted over all documents with a language."""
+def text_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", block: int = LANGUAGE_BLOCK) -> DataFrame:
+    """(lang, gram, n): n-gram buckets counted over all documents with a language, and a row with gram -1 for each."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for lang, own in counts.items():
+                seen = np.flatnonzero(own)
+                grams, n = np.append(seen, -1), np.append(own[seen], 0)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.int64()), pa.array(n, pa.int64())], names=["lang", "gram", "n"])
+            counts.clear()
+
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if lang not in counts and len(counts) >= block:
+                    yield from counted()
                 own = counts.setdefault(lang, np.zeros(1 << GRAM_BITS, np.int64))
                 own += np.bincount(_grams(text), minlength=1 << GRAM_BITS)
-        for lang, own in counts.items():
-            seen = np.flatnonzero(own)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(seen)), pa.array(seen, pa.int64()), pa.array(own[seen], pa.int64())], names=["lang", "gram", "n"])
+        yield from counted()
 
     known = docs.select(F.col(lang_col).cast("string").alias("lang"), text_or_empty(text_col).alias("text")).where("lang is not null")
-    top = [row.lang for row in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    parts = known.where(F.col("lang").isin(top)).mapInArrow(count, "lang string, gram bigint, n bigint")
-    found = parts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    languages = sorted(top)
+    parts = known.mapInArrow(count, "lang string, gram bigint, n bigint")
+    return kept(parts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
+
+
+def block_model(counts: DataFrame, languages: list[str]) -> np.ndarray:
+    """log2 likelihood of each n-gram bucket in each of the languages, which are one block."""
+    found = counts.where(F.col("lang").isin(languages) & (F.col("gram") >= 0))
+    names = F.array(*[F.lit(x) for x in languages])
+    rows = found.select((F.array_position(names, F.col("lang")) - 1).cast("int").alias("place"), F.col("gram").cast("int").alias("gram"), "n").toPandas()
     totals = np.full((len(languages), 1 << GRAM_BITS), 0.5)
-    for i, lang in enumerate(languages):
-        rows = found[found.lang == lang]
-        totals[i, rows["gram"].to_numpy(np.int64)] += rows["n"].to_numpy()
-    return languages, np.log2(totals / totals.sum(axis=1, keepdims=True)).astype(np.float32)
+    totals[rows["place"].to_numpy(), rows["gram"].to_numpy()] += rows["n"].to_numpy()
+    return np.log2(totals / totals.sum(axis=1, keepdims=True)).astype(np.float32)
 
 
 def _host(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
-def _likelihoods(pages: DataFrame, languages: list[str], model: np.ndarray) -> DataFrame:
-    shared = pages.sparkSession.sparkContext.broadcast(model)
+def _likelihoods(pages: DataFrame, languages: list[str], counts: DataFrame, block: int) -> DataFrame:
+    """``text_bits``: how likely each language makes a page's text, in the languages' order."""
+    blocks = [languages[i : i + block] for i in range(0, len(languages), block)]
+    rows = pages.withColumn("text_bits", F.array().cast("array<double>"))
+    for number, names in enumerate(blocks):
+        shared = pages.sparkSession.sparkContext.broadcast(block_model(counts, names))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for page in batch.column(3).to_pylist():
-                score = shared.value[:, _grams(visible(page))].sum(axis=1, dtype=np.float64) / TEXT_TEMPER
-                rows.append((score - score.max()).tolist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(rows, pa.list_(pa.float64()))], names=["page_id", "url", "declared", "text_bits"])
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                bits = []
+                for page, before in zip(batch.column("html").to_pylist(), batch.column("text_bits").to_pylist(), strict=True):
+                    bits.append(before + (shared.value[:, _grams(visible(page))].sum(axis=1, dtype=np.float64) / TEXT_TEMPER).tolist())
+                yield batch.set_column(batch.schema.get_field_index("text_bits"), "text_bits", pa.array(bits, pa.list_(pa.float64())))
 
-    return pages.mapInArrow(run, "page_id bigint, url string, declared string, text_bits array<double>")
+        rows = rows.mapInArrow(run, rows.schema)
+        if number + 1 < len(blocks):
+            # One block's model at a time in a worker.
+            rows = kept(rows, "page-bits")
+    best = F.array_max("text_bits")
+    return rows.select("page_id", "url", "declared", F.transform("text_bits", lambda x: x - best).alias("text_bits"))
 
 
 def _softmax(bits: Column) -> Column:
@@ -106,27 +134,30 @@ def _packed(n: int) -> Column:
 
 
 def identify(
-    pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html"
+    pages: DataFrame, docs: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", block: int = LANGUAGE_BLOCK
 ) -> DataFrame:
     """One row per page: page_id, url, lang, confidence, text_lang, declared_lang, host, suffix.
 
     A null page or url is an empty one: its language is then told by what is left. ``text_lang`` is
     what the text alone says. Ties go to the first language in alphabetical order. Without documents
-    of known language nothing can be told: ``lang`` is null. Repeated rows are judged alike.
+    of known language nothing can be told: ``lang`` is null. Repeated rows are judged alike. Of broken
+    markup, a tag that never ends is text. ``block`` languages are compared with the texts at a time.
     """
     source = pages.select(
         F.col(id_col).cast("bigint").alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
-        F.lower(F.regexp_extract(text_or_empty(html_col), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,8})", 1)).alias("declared"),
+        F.lower(F.coalesce(*[F.nullif(F.regexp_extract(text_or_empty(html_col), pattern, 1), F.lit("")) for pattern in _DECLARED], F.lit(""))).alias("declared"),
         text_or_empty(html_col).alias("html"),
     )
-    languages, model = text_model(docs)
+    counts = text_counts(docs, block=block)
+    # As many as the column has names for languages.
+    languages = sorted(row.lang for row in counts.where("gram = -1").select("lang").collect())
     n = len(languages)
     if not n:
         blank = F.lit(None).cast("string")
         return source.select("page_id", "url", blank.alias("lang"), F.lit(None).cast("double").alias("confidence"), blank.alias("text_lang"), F.nullif("declared", F.lit("")).alias("declared_lang"), _host(text_or_empty("url")).alias("host"), blank.alias("suffix"))
     host = _host(text_or_empty("url"))
-    rows = _likelihoods(source, languages, model).withColumn("host", host)
+    rows = _likelihoods(source, languages, counts, block).withColumn("host", host)
     rows = rows.withColumns({"domain": F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1), "suffix": F.regexp_extract("host", r"\.([^.0-9]+)$", 1)})
     rows = kept(rows.withColumn("by_text", _softmax(F.col("text_bits"))), "page-texts")
 

@@ -10,7 +10,10 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,35 +31,53 @@ SAMPLE_WEIGHT = 0.25
 SAMPLE_CHARS = 1_000_000
 TRAIN_BLOCKS = 80
 ROUNDS = 200
+# Features of fewer training pages have no weight.
+RARE = 3
 _SLOTS = 1 << 16
 
 
-def features(block: Block) -> list[str]:
-    found = {"bias", f"tag {block.path[-1][0] if block.path else ''}"}
-    for tag, marks in block.path:
+@lru_cache(maxsize=4096)
+def _path_features(path: tuple[tuple[str, tuple[str, ...]], ...]) -> frozenset[str]:
+    """What the ancestors say; pages of a layout share them."""
+    found = {"bias", f"tag {path[-1][0] if path else ''}"}
+    for tag, marks in path:
         found.add(f"in {tag}")
         found.update(f"word {mark.removesuffix('s')}" for mark in marks)
     # The innermost named element often says more than those around it.
-    for _, marks in reversed(block.path):
+    for _, marks in reversed(path):
         if marks:
             found.update(f"near {mark.removesuffix('s')}" for mark in marks)
             break
+    return frozenset(found)
+
+
+def _text_features(block: Block) -> list[str]:
     text, n = block.text, len(block.text)
-    found.add(f"length {min(n.bit_length(), 9)}")
-    found.add(f"links {4 * block.linked // max(n, 1)}")
+    found = [f"length {min(n.bit_length(), 9)}", f"links {4 * block.linked // max(n, 1)}"]
     if text[-1] in ".!?…\"'”»":
-        found.add("sentence")
-    if re.search(r"[©®™]|\bcopyright\b", text, re.I):
-        found.add("rights")
-    if sum(c == "|" or c == "·" or c == "›" for c in text) > 1:
-        found.add("separators")
-    return sorted(found)
+        found.append("sentence")
+    if re.search(r"[©®™]|\b(?i:copyright)\b", text):
+        found.append("rights")
+    if sum(map(text.count, "|·›")) > 1:
+        found.append("separators")
+    return found
 
 
-def _slots(block: Block) -> list[int]:
-    import zlib
+def features(block: Block) -> list[str]:
+    return sorted({*_path_features(tuple(block.path)), *_text_features(block)})
+
 
-    return sorted({zlib.crc32(f.encode()) % _SLOTS for f in features(block)})
+def _slot(feature: str) -> int:
+    return zlib.crc32(feature.encode()) % _SLOTS
+
+
+@lru_cache(maxsize=4096)
+def _path_slots(path: tuple[tuple[str, tuple[str, ...]], ...]) -> frozenset[int]:
+    return frozenset(map(_slot, _path_features(path)))
+
+
+def _slots(block: Block) -> list[int]:
+    return sorted({*_path_slots(tuple(block.path)), *map(_slot, _text_features(block))})
 
 
 def _grammar(rng: random.Random) -> list[tuple[str, int]]:
@@ -174,7 +195,8 @@ def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS, count
     counts = [1.0] * len(chains) if counts is None else counts
     much = np.array([count for chain, count in zip(chains, counts, strict=True) if chain])[:, None, None]
     chains = [chain[:TRAIN_BLOCKS] for chain in chains if chain]
-    used = sorted({s for chain in chains for slots, _ in chain for s in slots})
+    pages = Counter(s for chain in chains for s in {s for slots, _ in chain for s in slots})
+    used = sorted(s for s, count in pages.items() if count >= RARE)
     column = {s: i for i, s in enumerate(used)}
     longest = max(map(len, chains), default=0)
     x = np.zeros((sum(map(len, chains)), len(used)), np.float32)
@@ -182,7 +204,7 @@ def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS, count
     row = 0
     for i, chain in enumerate(chains):
         for j, (slots, label) in enumerate(chain):
-            x[row, [column[s] for s in slots]] = 1
+            x[row, [column[s] for s in slots if s in column]] = 1
             y[i, j], here[i, j] = label, True
             row += 1
     w, moves = np.zeros((len(used), 2)), np.zeros((2, 2))
@@ -197,10 +219,12 @@ def train(chains: list[list[tuple[list[int], int]]], rounds: int = ROUNDS, count
         if longest:
             forward[:, 0] = scores[:, 0]
         for t in range(1, longest):
-            reach = np.logaddexp.reduce(forward[:, t - 1, :, None] + moves, axis=1) + scores[:, t]
+            last = forward[:, t - 1]
+            reach = np.logaddexp(last[:, :1] + moves[0], last[:, 1:] + moves[1]) + scores[:, t]
             forward[:, t] = np.where(here[:, t, None], reach, forward[:, t - 1])
         for t in range(longest - 2, -1, -1):
-            reach = np.logaddexp.reduce(moves + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
+            then = scores[:, t + 1] + backward[:, t + 1]
+            reach = np.logaddexp(moves[:, 0] + then[:, :1], moves[:, 1] + then[:, 1:])
             backward[:, t] = np.where(here[:, t + 1, None], reach, 0)
         total = np.logaddexp.reduce(forward[:, -1], axis=1)
         single = np.exp(forward + backward - total[:, None, None]) * here[..., None]

@@ -18,6 +18,8 @@ from letterlake.sources.topics import CHANGES, OPERATIONAL, RAW, Topic
 
 # The clock of every job run on the inputs.
 PROCESSING_TIME = "2024-02-01 00:00:00"
+# Rows that one task makes records of.
+TASK_ROWS = 50_000
 
 
 _STORED: dict[tuple[str, str, str], str] = {}
@@ -34,12 +36,7 @@ def stored(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
         key = (spark.sparkContext.applicationId, sf_dir, build.__name__)
         if key not in _STORED:
             path = scratch_path(spark, build.__name__)
-            rows = build(spark, sf_dir)
-            cores = spark.sparkContext.defaultParallelism
-            if rows.rdd.getNumPartitions() < cores:
-                # A source of few small files: spread it, or one task would do all the work.
-                rows = rows.repartition(cores)
-            rows.write.parquet(path)
+            build(spark, sf_dir).write.parquet(path)
             _STORED[key] = path
         return spark.read.parquet(_STORED[key])
 
@@ -50,6 +47,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """A table's rows dealt by key over as many tasks as their number needs, each of which writes one file.
+
+    The files and row groups of the table may be few and large. The rows move while they are narrow,
+    before records are made of them.
+    """
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+    return rows.repartition(tasks, key)
+
+
 def _every(n: int, number: str = "i") -> Column:
     return F.expr(f"{number} % {n} = 0")
 
@@ -57,7 +64,7 @@ def _every(n: int, number: str = "i") -> Column:
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # Number of the event (i), of its message (m), and a spread value 0..99 (k).
-    return events.select(
+    return spread(events.select("event_id", "ts", "event_type", "props"), "event_id").select(
         F.col("event_id").alias("i"),
         F.expr("event_id div 4").alias("m"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
@@ -218,7 +225,8 @@ def operational_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _numbered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return orders.select(
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
+    return spread(orders.select(*columns), "o_orderkey").select(
         F.col("o_orderkey").alias("i"),
         F.expr("o_custkey % 80").alias("t"),
         F.col("o_orderstatus").alias("status"),

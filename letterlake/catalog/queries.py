@@ -30,7 +30,7 @@ from letterlake.operators import (
     upsert,
 )
 from letterlake.plans import graph, marts, semantic
-from letterlake.session import scratch_path, use_utc
+from letterlake.session import scratch_path, use_record_settings, use_utc
 from letterlake.sinks import expiry, letter_index, tables
 from letterlake.sinks.commits import Change, Snapshot, TableLog
 from letterlake.sinks.topic_log import TopicLog
@@ -49,7 +49,7 @@ LAG_SECONDS = 60
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return decode.utc_wall_clock(function(use_utc(spark), sf_dir))
+        return decode.utc_wall_clock(function(use_record_settings(use_utc(spark)), sf_dir))
 
     QUERIES[function.__name__] = run
     return function

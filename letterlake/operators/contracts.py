@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from letterlake.functions.clock import event_timestamp
 from letterlake.operators.decode import COORDINATES
 
 
@@ -166,7 +165,8 @@ def _field_violation() -> Column:
         .when((F.size(rule["values"]) > 0) & ~F.array_contains(rule["values"], text), named("value"))
         .when(rule["pattern"].isNotNull() & ~F.rlike(text, rule["pattern"]), named("pattern"))
         .when(
-            rule["date_time"] & ~(F.rlike(text, F.lit(_DATE_TIME)) & event_timestamp(F.upper(text)).isNotNull()),
+            rule["date_time"]
+            & ~(F.rlike(text, F.lit(_DATE_TIME)) & F.try_to_timestamp(F.translate(text, "tz", "TZ")).isNotNull()),
             named("format"),
         )
         .when(

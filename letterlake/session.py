@@ -8,6 +8,14 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+RECORD_SETTINGS = {
+    # Record text packs to a tenth: a split of the default size would hold a million records to parse.
+    "spark.sql.files.maxPartitionBytes": "16m",
+    # The JVM only interprets a longer method, as the checks and projections of a record generate; beyond
+    # this length Spark evaluates them in several compiled ones.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 
 def build_session(app_name: str = "letterlake", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; a cluster's own settings win where given."""
@@ -22,7 +30,7 @@ def build_session(app_name: str = "letterlake", master: str | None = None, **con
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
-    return use_utc(builder.getOrCreate())
+    return use_record_settings(use_utc(builder.getOrCreate()))
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -31,6 +39,15 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def use_record_settings(spark: SparkSession) -> SparkSession:
+    """Settings for many long text records; those that the application has set stay."""
+    given = spark.sparkContext.getConf()
+    for key, value in RECORD_SETTINGS.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 

@@ -805,10 +805,17 @@ def offset_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same results from streams. The topic is kept as a table and read in several micro-batches.
 
 
+# Records of an archive's file, which one task reads, and files of a micro-batch.
+FILE_RECORDS = 50_000
+BATCH_FILES = 128
+
+
 def _streamed(spark: SparkSession, topic: DataFrame) -> DataFrame:
+    """The topic as a stream of two batches or more; neither a file nor a batch grows with the topic."""
     path = scratch_path(spark, "archive")
-    topic.repartition(4, "partition", "offset").write.parquet(path)
-    return topics.read_topic_table(spark, path, streaming=True, max_files=2)
+    files = max(4, -(-topic.count() // FILE_RECORDS))
+    topic.repartition(files, "partition", "offset").write.parquet(path)
+    return topics.read_topic_table(spark, path, streaming=True, max_files=min(-(-files // 2), BATCH_FILES))
 
 
 def _land_stream(spark: SparkSession, sf_dir: str) -> str:

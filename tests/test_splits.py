@@ -39,3 +39,20 @@ def test_lower_case_marks_of_a_date_time(topic_of):
     topic = topic_of(record % ("2024-01-01t00:00:00z", "2024-02-30T00:00:00Z"), record % ("2024-01-01 00:00:00+01:00", "1704067200000"))
     found = {(row.offset, row.violation) for row in contract_violations(topic).collect()}
     assert found == {(0, "format:ingested_at"), (1, "format:ingested_at")}
+
+
+def test_a_stream_has_bounded_files_and_batches(spark, monkeypatch):
+    monkeypatch.setattr(queries, "FILE_RECORDS", 100)
+    monkeypatch.setattr(queries, "BATCH_FILES", 3)
+    read, seen = queries.topics.read_topic_table, {}
+
+    def noting(session, path, **given):
+        seen.update(given, path=path)
+        return read(session, path, **given)
+
+    monkeypatch.setattr(queries.topics, "read_topic_table", noting)
+    landed = queries.QUERIES["stream_land_events"](spark, SMALL)
+    assert len(glob.glob(f"{seen['path']}/*.parquet")) > 8
+    assert seen["max_files"] == 3
+    assert landed.exceptAll(queries.QUERIES["land_events"](spark, SMALL)).isEmpty()
+    assert landed.count() == queries.QUERIES["land_events"](spark, SMALL).count()

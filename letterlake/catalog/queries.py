@@ -503,6 +503,13 @@ def dim_provider(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _kept(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows that several steps read, as a stored table; their records are parsed once."""
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _corrections(fact: DataFrame) -> DataFrame:
     """A later delivery of every bounce, with a corrected status."""
     bounced = fact.where(F.col("event_type") == "mail.bounced")
@@ -516,9 +523,9 @@ def _corrections(fact: DataFrame) -> DataFrame:
 
 @query
 def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = marts.lifecycle_from_events(normalized(spark, sf_dir))
+    events = _kept(spark, marts.lifecycle_from_events(normalized(spark, sf_dir)), "lifecycle-rows")
     existing = latest.first_by(events, ("event_id",), upsert.newest_first())
-    operational_rows = marts.lifecycle_from_operational(enriched(spark, sf_dir))
+    operational_rows = _kept(spark, marts.lifecycle_from_operational(enriched(spark, sf_dir)), "operational-rows")
     batch = events.unionByName(_corrections(events)).unionByName(operational_rows)
     return upsert.merge_by_key(existing, batch, "event_id", upsert.newest_first())
 
@@ -526,7 +533,7 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "lifecycle")
-    fact = lifecycle_fact(spark, sf_dir).withColumn("event_date", F.to_date("event_time"))
+    fact = _kept(spark, lifecycle_fact(spark, sf_dir), "fact").withColumn("event_date", F.to_date("event_time"))
     order = upsert.newest_first()
     for batch in (fact, _corrections(fact)):
         upsert.upsert_table(spark, path, batch, "event_id", "event_date", order)

@@ -56,3 +56,8 @@ def test_a_stream_has_bounded_files_and_batches(spark, monkeypatch):
     assert seen["max_files"] == 3
     assert landed.exceptAll(queries.QUERIES["land_events"](spark, SMALL)).isEmpty()
     assert landed.count() == queries.QUERIES["land_events"](spark, SMALL).count()
+
+
+def test_the_upserts_parse_their_records_once(spark):
+    text = queries.QUERIES["incremental_upsert"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "from_json(" not in text and "parse_json" not in text.lower()

@@ -36,6 +36,8 @@ from letterlake.llm.tokens import Encoder, vocabulary_path
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BLOCK_CHARS = 16 * 1024 * 1024
+# Links whose counts are looked up at once: a batch of rows can hold some ten million.
+SUMMED = 1 << 19
 DOCUMENT, PAIR, REGULAR = 0, 1, 2
 STATISTICS = ("n_a", "n_b", "n_groups", "n_links")
 KEPT = (
@@ -218,6 +220,22 @@ def _encoded(paths: tuple[str, str], block_chars: int):
     return run
 
 
+def _sums(links: pa.ListArray, counts: np.ndarray, best: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's sums of its links' counts and flags, ``SUMMED`` links at a time."""
+    offsets, flat = links.offsets.to_numpy(), links.values.to_numpy()
+    sums = np.zeros(len(links), np.int64), np.zeros(len(links), np.int64)
+    sizes = np.diff(offsets)
+    for at in range(int(offsets[0]), int(offsets[-1]), SUMMED):
+        until = min(at + SUMMED, int(offsets[-1]))
+        # The documents with links here; one that goes on beyond the piece is added to again.
+        first, last = np.searchsorted(offsets, [at, until - 1], "right") - 1
+        rows = np.arange(first, last + 1)[sizes[first : last + 1] > 0]
+        starts = np.maximum(offsets[rows], at) - at
+        for total, values in zip(sums, (counts, best), strict=True):
+            total[rows] += np.add.reduceat(values[flat[at:until]], starts, dtype=np.int64)
+    return sums
+
+
 def _scored(size_a: int, shared):
     """Documents of each block with their links' counts, read after the block's pairs."""
 
@@ -241,12 +259,7 @@ def _scored(size_a: int, shared):
                     own_counts = np.concatenate((counts, np.zeros(len(numbers), np.int64)))
                     own_best = np.concatenate((best, np.zeros(len(numbers), bool)))
                     own_counts[size_a + numbers.astype(np.int64)], own_best[size_a + numbers.astype(np.int64)] = many, flags.astype(bool)
-                links = column["links"].slice(start, end - start)
-                sizes = np.diff(links.offsets.to_numpy())
-                flat = links.flatten().to_numpy()
-                ends = np.cumsum(sizes)
-                totals = [np.concatenate(([0], np.cumsum(values[flat]))) for values in (own_counts, own_best.astype(np.int64))]
-                sums = [total[ends] - total[ends - sizes] for total in totals]
+                sums = _sums(column["links"].slice(start, end - start), own_counts, own_best)
                 out = [column[name].slice(start, end - start) for name in ("doc_id", *STATISTICS)]
                 out += [pa.array(sums[1]), pa.array(sums[0]), column["groups_sha256"].slice(start, end - start)]
                 yield pa.RecordBatch.from_arrays(out, names=[field.split(" ")[0] for field in SCHEMA.split(", ")])

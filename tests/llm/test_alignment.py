@@ -3,9 +3,13 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -82,3 +86,56 @@ def test_alignment(spark, seed, block):
 def test_lost_characters_have_no_tokens(spark):
     found, _ = alignment.align(documents(spark, [(1, "a ▁ b", "en", "s")]))
     assert tuple(found.first()) == (1, 0, 0, 0, 0, 0, 0, "")
+
+
+def answers_and_documents(sizes, n_pairs):
+    """A block's pairs and then its documents, as ``_scored`` reads them; links number ids below 5 and the pairs."""
+    rng = np.random.default_rng(7)
+    links = rng.integers(0, 5 + n_pairs, sum(sizes)).astype(np.int32)
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    names = ["kind", "block", "number", "count", "best", "doc_id", *alignment.STATISTICS, "groups_sha256", "links"]
+
+    def batch(n, **given):
+        return pa.RecordBatch.from_arrays([given.get(name, pa.nulls(n, pa.int64())) for name in names], names=names)
+
+    counts, best = rng.integers(1, 1 << 40, n_pairs), rng.random(n_pairs) < 0.5
+    pairs = batch(
+        n_pairs,
+        kind=pa.array([alignment.PAIR] * n_pairs),
+        block=pa.array([3] * n_pairs),
+        number=pa.array(np.arange(n_pairs)),
+        count=pa.array(counts),
+        best=pa.array(best),
+    )
+    n = len(sizes)
+    docs = batch(n, kind=pa.array([alignment.DOCUMENT] * n), block=pa.array([3] * n), links=pa.ListArray.from_arrays(pa.array(offsets), pa.array(links)))
+    vectors = np.arange(1, 6, dtype=np.int64), np.array([True, False, True, True, False])
+    shared = SimpleNamespace(value=vectors)
+    all_counts, all_best = np.concatenate((vectors[0], counts)), np.concatenate((vectors[1], best))
+    spans = [links[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+    expected = [(int(all_best[x].sum()), int(all_counts[x].sum())) for x in spans]
+    return shared, [pairs, docs], expected
+
+
+def summed(shared, batches):
+    out = list(alignment._scored(5, shared)(iter(batches)))
+    return [pair for x in out for pair in zip(x.column(5).to_pylist(), x.column(6).to_pylist(), strict=True)]
+
+
+@pytest.mark.parametrize("piece", [1, 4, 1 << 19])
+def test_links_are_summed_in_pieces(monkeypatch, piece):
+    monkeypatch.setattr(alignment, "SUMMED", piece, raising=False)
+    shared, batches, expected = answers_and_documents([0, 3, 0, 0, 9, 1, 4, 0], 11)
+    assert summed(shared, batches) == expected
+    # The first rows cut off: links begin amid the values.
+    assert summed(shared, [batches[0], batches[1].slice(3)]) == expected[3:]
+
+
+def test_links_take_little_memory():
+    shared, batches, expected = answers_and_documents([1000] * 4000, 1000)
+    tracemalloc.start()
+    found = summed(shared, batches)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == expected
+    assert peak < 40e6

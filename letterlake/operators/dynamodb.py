@@ -89,15 +89,30 @@ def attribute(image: Column, path: str, kind: T.DataType) -> Column:
     return value if isinstance(kind, T.StringType) else value.try_cast(kind)
 
 
+def _tags(image: Column, names: list[str]) -> Column:
+    """The scalar tags of some attributes, read in one walk through the image."""
+    kinds = ", ".join([*(f"{tag}: string" for tag in SCALAR_TAGS), "`NULL`: boolean"])
+    fields = ", ".join(f"`{name}`: struct<{kinds}>" for name in names)
+    return F.try_variant_get(image, "$", f"struct<{fields}>")
+
+
 def unmarshal(images: DataFrame, schema: T.StructType, image: str = "image") -> DataFrame:
     """Adds a column per schema field, read from the attribute image."""
+    texts = [field.name for field in schema.fields if isinstance(field.dataType, T.StringType)]
+    tagged = images.select("*", F.explode(F.array(_tags(F.col(image), texts))).alias("_tags")) if texts else images
+
+    def text(name: str) -> Column:
+        tags = F.col("_tags").getField(name)
+        other = F.try_variant_get(F.col(image), f"$.{name}", "string")
+        return F.coalesce(*[tags.getField(tag) for tag in SCALAR_TAGS], F.when(tags.getField("NULL").isNull(), other))
+
     item = F.struct(
         *[
-            attribute(F.col(image), f"$.{field.name}", field.dataType).alias(field.name)
+            (text(field.name) if field.name in texts else attribute(F.col(image), f"$.{field.name}", field.dataType)).alias(field.name)
             for field in schema.fields
         ]
     )
-    return images.select("*", F.inline(F.array(item)))
+    return tagged.select(*images.columns, F.inline(F.array(item)))
 
 
 def ddb_to_operational(topic: DataFrame, processing_time: str) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from letterlake.catalog import inputs, queries
-from letterlake.operators import activity, decode, latest, retention, staging
+from letterlake.operators import activity, decode, dynamodb, latest, retention, staging
 from letterlake.plans import marts
 from letterlake.sinks.tables import write_events
 
@@ -40,6 +40,14 @@ def test_each_record_is_parsed_once(spark):
     assert plan(staged).count("parseJson") == 1
 
 
+def test_an_image_is_read_in_one_walk(spark):
+    images = dynamodb.new_images(dynamodb.stream_records(inputs.attribute_topic(spark, SMALL)))
+    before = optimized(images).count("try_variant_get(")
+    read = optimized(dynamodb.unmarshal(images, dynamodb.ITEM)).count("try_variant_get(") - before
+    # The tags of all attributes, and each one as a whole for unknown tags.
+    assert read <= len(dynamodb.ITEM) + 1
+
+
 def test_latest_row_is_limited_before_the_shuffle(spark):
     text = plan(latest.latest_per_message(queries.lifecycle_rows(spark, SMALL)))
     before_shuffle = text[text.index("Exchange hashpartitioning(message_id") :]

@@ -5,6 +5,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from letterlake import schemas
 from letterlake.functions.clock import duration, event_timestamp
@@ -314,6 +315,28 @@ def test_nested_attributes(spark, topic_of):
     assert row.m.a == 1 and row.m.b.c == "x" and row.l == [1, 2, None] and row.none is None
 
 
+def test_odd_attributes(spark, topic_of):
+    odd = {
+        "status": "plain",
+        "provider": 7,
+        "error_code": None,
+        "error_message": {"NULL": False},
+        "mailbox_id": {"S": None, "N": "3"},
+        "trace_id": {"L": [{"S": "x"}]},
+        "tenant_id": {"N": 12, "S": {"a": 1}},
+        "message_id": {"BOOL": False, "NULL": True},
+        "mail_id": {"NULL": "no"},
+        "correlation_id": {"NULL": {}},
+        "processing_stage": [],
+        "updated_at": {"Status": "x", "s": "y"},
+    }
+    rows = dynamodb.new_images(dynamodb.stream_records(topic_of(images(odd, {"other": {"S": "x"}}))))
+    item = dynamodb.unmarshal(rows, dynamodb.ITEM)
+    names = [field.name for field in dynamodb.ITEM]
+    each = rows.select(*[dynamodb.attribute(F.col("image"), f"$.{n}", T.StringType()).alias(n) for n in names])
+    assert sorted(map(str, item.select(*names).collect())) == sorted(map(str, each.collect()))
+
+
 # Operational records.
 
 

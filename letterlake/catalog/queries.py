@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -657,22 +657,24 @@ def stored_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiers.groupBy("tier", "event_date").agg(F.count("*").alias("events"))
 
 
-# Checks are counted while the layer is written. The layer is built once per session and input.
+# Checks are counted while the layer is written. Its relations are built once per session and input, by the
+# first report that needs them; a report builds those that it tells of and what they are made from.
 
 _LAYERS: dict[tuple[str, str], str] = {}
 
 
-def _checked(spark: SparkSession, sf_dir: str) -> Snapshot:
+def _checked(spark: SparkSession, sf_dir: str, names: Iterable[str]) -> Snapshot:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LAYERS:
         _LAYERS[key] = scratch_path(spark, "checked-layer")
     events = inputs.landing_events(spark, sf_dir)
-    semantic.build_semantic_layer(spark, events, _LAYERS[key], more=_sources(spark, sf_dir))
+    semantic.build_semantic_layer(spark, events, _LAYERS[key], more=_sources(spark, sf_dir), only=semantic.observing(names))
     return TableLog(spark, _LAYERS[key]).snapshot()
 
 
 def _check(spark: SparkSession, sf_dir: str, check: str) -> DataFrame:
-    return graph.check_report(spark, _checked(spark, sf_dir), semantic.CHECKS, check)
+    names = semantic.checked(check)
+    return graph.check_report(spark, _checked(spark, sf_dir, names), names, check)
 
 
 @query
@@ -707,7 +709,7 @@ def dq_unique_combo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.freshness_report(spark, _checked(spark, sf_dir), quality.FRESHNESS, FRESHNESS_TIME)
+    return graph.freshness_report(spark, _checked(spark, sf_dir, quality.FRESHNESS), quality.FRESHNESS, FRESHNESS_TIME)
 
 
 @query

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,10 +67,21 @@ def register_views(relations: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def _buildable(sources: Mapping[str, Source]) -> list[str]:
-    """The marts whose every source is given."""
+def checked(kind: str) -> list[str]:
+    """The relations and sources with a check of this kind."""
+    return [name for name, checks in CHECKS.items() if getattr(checks, kind)]
+
+
+def observing(names: Iterable[str]) -> tuple[str, ...]:
+    """The relations to build so that the checks of ``names`` are counted; a source's are by those that read it."""
+    names = set(names)
+    return tuple(relation.name for relation in RELATIONS if relation.name in names or names.intersection(relation.inputs).intersection(SOURCES))
+
+
+def _buildable(sources: Mapping[str, Source], names: Iterable[str]) -> list[str]:
+    """Those of the relations whose every source is given."""
     found = []
-    for name in MARTS:
+    for name in names:
         try:
             graph.in_order(RELATIONS, sources, [name])
         except KeyError:
@@ -99,8 +110,8 @@ def build_semantic_layer(
     """Writes the relations below ``root`` and returns the stored marts.
 
     The landing table is read and its payloads are parsed once, for the rollup. ``more`` gives the other
-    ``SOURCES``; marts whose sources are not given are left out, and with ``only`` all but those named and
-    what they need. ``version`` is that of the sources: what is stored from the same one is not built
+    ``SOURCES``; marts whose sources are not given are left out. With ``only`` the relations that it names,
+    marts or not, are built and returned, and what they need is built. ``version`` is that of the sources: what is stored from the same one is not built
     again, and what is not affected by a new one neither. Readers of an earlier build are not disturbed.
 
     With ``gate`` the layers build in order and stop at the first failing check: no mart is written
@@ -108,7 +119,7 @@ def build_semantic_layer(
     """
     given = {LANDING_EVENTS: lambda: landing, **(more or {})}
     sources = {name: Source(rows, str(version)) for name, rows in given.items()}
-    wanted = [name for name in _buildable(sources) if only is None or name in only]
+    wanted = _buildable(sources, MARTS if only is None else [relation.name for relation in RELATIONS if relation.name in only])
     log = TableLog(spark, root)
     snapshot = graph.build(log, RELATIONS, sources, CHECKS, wanted=wanted, gate=gate)
     return {name: graph.stored(log, snapshot, name) for name in wanted}

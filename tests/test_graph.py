@@ -97,6 +97,25 @@ def test_the_whole_layer_is_built_once(spark, folder):
         assert fresh.where(F.col("relation") == name).collect() == quality.freshness(stored[name], name, rule, queries.FRESHNESS_TIME).collect()
 
 
+def test_a_report_builds_what_it_tells_of(spark, monkeypatch):
+    """The same rows whether a report comes first or after others, and no relation for nothing."""
+    reports = [*quality.ROW_CHECKS, "unique", "unique_combination"]
+    whole = {name: {tuple(r) for r in queries._check(spark, SMALL, name).collect()} for name in reports}
+    built = {}
+    for name in reports:
+        monkeypatch.setattr(queries, "_LAYERS", {})
+        found = semantic.checked(name)
+        snapshot = queries._checked(spark, SMALL, found)
+        assert {tuple(r) for r in graph.check_report(spark, snapshot, found, name).collect()} == whole[name]
+        assert {r[1] for r in whole[name]} == set(found)
+        built[name] = set(snapshot.tables)
+    assert "fct_mail_lifecycle" not in built["non_negative"] and "fct_mail_lifecycle" in built["unique"]
+    assert "template_performance" not in built["unique"]
+    monkeypatch.setattr(queries, "_LAYERS", {})
+    fresh = set(queries._checked(spark, SMALL, quality.FRESHNESS).tables)
+    assert fresh == {"activity_rollup", "dim_customer_tenant", "dim_customer_event_type", "fct_daily_customer_delivery"}
+
+
 def test_row_checks_cost_no_scan(spark, folder):
     """They are counted on the way to the files: what was stored is not asked."""
     suite = {"low": quality.Checks(not_null=("n",), non_negative=("n",))}

@@ -8,7 +8,8 @@ Below the root folder, under one commit log (``sinks.commits``):
 ``dead_letter_tokens``   where which token stands in the dead letters (``sinks.letter_index``)
 ``dim_customer_*``, ``fct_daily_customer_delivery``   the refreshed dimensions and daily fact
 
-and beside it ``dead_letters/writer=/batch_id=``, what could not land, replaced when a batch is replayed.
+and beside it ``dead_letters/writer=/batch_id=``, what could not land, replaced when a batch
+is run again before its commit.
 
 A batch's events, ids and rollup become visible by one commit, which also notes the batch under its
 writer: a batch that is run again after a failure finds itself noted and changes nothing, and one that
@@ -104,9 +105,6 @@ def land_batch(
     def noted(snapshot: Snapshot) -> bool:
         return int(snapshot.notes.get(note, -1)) >= batch_id
 
-    parsed = parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
-    first = _first_deliveries(parsed).persist(StorageLevel.MEMORY_AND_DISK)
-
     def land(snapshot: Snapshot) -> Change:
         buckets = ledger.buckets_of(first)
         events = first.join(ledger.landed(log, snapshot, first, buckets), "event_id", "left_anti")
@@ -122,13 +120,17 @@ def land_batch(
             events.unpersist()
         return Change(add=added, reads={ledger.TABLE: buckets}, notes={note: str(batch_id)})
 
-    try:
-        rejected = utc_wall_clock(dead_letters(parsed))
-        write_batch(rejected, f"{root}/dead_letters", batch_id, writer=writer)
-        log.transact(land, unless=noted)
-    finally:
-        for kept in (first, parsed):
-            kept.unpersist()
+    # The dead letters of a noted batch were written before its commit, so a replay need not read the records.
+    if not noted(log.snapshot()):
+        parsed = parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        first = _first_deliveries(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rejected = utc_wall_clock(dead_letters(parsed))
+            write_batch(rejected, f"{root}/dead_letters", batch_id, writer=writer)
+            log.transact(land, unless=noted)
+        finally:
+            for kept in (first, parsed):
+                kept.unpersist()
     if refresh:
         refresh_tables(spark, root)
     if compact_every:

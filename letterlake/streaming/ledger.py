@@ -51,6 +51,9 @@ def buckets_of(events: DataFrame) -> list[str]:
 def landed(log: TableLog, snapshot: Snapshot, events: DataFrame, buckets: list[str]) -> DataFrame:
     """Those ids of ``events``, which must be kept, that were recorded before."""
     known = log.read(snapshot, TABLE, SCHEMA, buckets)
+    if not set(buckets).intersection(snapshot.partitions(TABLE)):
+        # Nothing was recorded there: a join that the planner sees to be empty costs no look at the events.
+        return known.where("false").select("event_id")
     first = [row.event_id for row in events.select("event_id").limit(POINT_LOOKUPS + 1).collect()]
     if not first:
         return known.where("false").select("event_id")

@@ -131,6 +131,19 @@ def test_a_replayed_batch_changes_nothing(spark, topic_of, folder):
         assert_refreshed(spark, folder)
 
 
+def test_a_replay_of_a_noted_batch_reads_no_record(spark, topic_of, folder, monkeypatch):
+    batch = topic_of(event(1), "not json", event(2))
+    landing.land_batch(batch, 3, folder)
+    read = []
+    monkeypatch.setattr(landing, "parse_envelopes", lambda records: read.append(records))
+    for batch_id in (3, 2):
+        landing.land_batch(batch, batch_id, folder)
+    assert not read
+    assert landing.landing_table(spark, folder).count() == 2
+    assert tables.dead_letter_table(spark, folder).count() == 1
+    assert_refreshed(spark, folder)
+
+
 def test_compaction_keeps_the_state(spark, topic_of, folder):
     log = TableLog(spark, folder)
     for number in range(1, 13):

@@ -11,7 +11,8 @@ Documents are scored in blocks of some million characters. A block's different n
 in its task and become its questions; the questions of all blocks, each n-gram once, are joined with
 the discounted probabilities and the back-offs of their contexts, order by order, sharded by n-gram
 and context; the answers return to their blocks, where each document's are added up. So an n-gram
-travels once for a block and not once for a document, and a frequent one costs a row for a block.
+travels once for a block and not once for a document, and a frequent one costs a row for a block. On
+their way back the answers that a task has for one block are one compressed row.
 
 A document goes when its perplexity is beyond its language's quantile among trusted documents that
 the model has not seen.
@@ -39,6 +40,8 @@ BLOCK_CHARS = 4_000_000
 # Different numbers below this are told by a table of all of them, others by sorting slices.
 _TABLE = 1 << 26
 _SLICE = 1 << 19
+# A task packs its answers by block when it holds so many.
+ANSWERS = 1 << 20
 # The share of trusted documents of a language that lies within its threshold, and the room above it.
 QUANTILE = 0.995
 MARGIN = 1.15
@@ -216,26 +219,58 @@ def probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
     return found
 
 
+def _bundled(held: int):
+    """Answers (block, number, bits) as one compressed value for each block of ``held`` answers."""
+
+    def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        blocks, numbers, bits = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((numbers, blocks))
+        blocks, numbers, bits = blocks[order], numbers[order], bits[order]
+        starts = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1]]))
+        # In order the steps between numbers are small.
+        steps = np.diff(numbers, prepend=np.int32(0))
+        steps[starts] = numbers[starts]
+        codec = pa.Codec("zstd", compression_level=1)
+        values = [codec.compress(steps[a:b].tobytes() + bits[a:b].tobytes(), asbytes=True) for a, b in zip(starts, np.append(starts[1:], len(blocks)), strict=True)]
+        sizes = np.diff(np.append(starts, len(blocks))).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(blocks[starts]), pa.array(sizes), pa.array(values, pa.binary())], names=["block", "n", "answers"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, n = [], 0
+        for batch in batches:
+            parts.append(tuple(column.to_numpy(zero_copy_only=False).astype(kind) for column, kind in zip(batch.columns, (np.int64, np.int32, np.float32), strict=True)))
+            n += batch.num_rows
+            if n >= held:
+                yield rows(parts)
+                parts, n = [], 0
+        if n:
+            yield rows(parts)
+
+    return run
+
+
+def _unbundled(n: int, value: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, bits) of ``n`` answers."""
+    whole = pa.Codec("zstd").decompress(value, decompressed_size=8 * n, asbytes=True)
+    return np.cumsum(np.frombuffer(whole, np.int32, n)), np.frombuffer(whole, np.float32, n, 4 * n)
+
+
 def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of a partition by block, its answers before its documents."""
     block, parts = None, []
     for batch in batches:
-        blocks, rows = batch.column(0).to_numpy(), batch.column(3)
-        cuts = np.flatnonzero(np.diff(blocks)) + 1
-        for start, end in zip([0, *cuts], [*cuts, len(blocks)], strict=True):
-            if start == end:
+        for one, n, value, rows in zip(*batch.columns, strict=True):
+            if one.as_py() != block:
+                block, parts = one.as_py(), []
+            if not rows.is_valid:
+                parts.append(_unbundled(n.as_py(), value.as_py()))
                 continue
-            if blocks[start] != block:
-                block, parts = blocks[start], []
             # A block's documents are one row, the last.
-            last = end - int(rows[end - 1].is_valid)
-            parts.append([batch.column(at).slice(start, last - start).to_numpy(zero_copy_only=False) for at in (1, 2)])
-            if last == end:
-                continue
-            numbers, answers = (np.concatenate(x) for x in zip(*parts, strict=True))
-            bits = np.zeros(len(numbers))
-            bits[numbers.astype(np.int64)] = answers
-            docs = _opened(rows[last].as_py())
+            bits = np.zeros(sum(len(numbers) for numbers, _ in parts))
+            for numbers, answers in parts:
+                bits[numbers] = answers
+            parts = []
+            docs = _opened(rows.as_py())
             _, _, places, sizes = grams(docs["text"].to_pylist())
             sums = np.concatenate(([0.0], np.cumsum(bits[places]) if len(places) else []))
             ends = np.cumsum(sizes)
@@ -252,8 +287,9 @@ def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     once = kept(questions.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "grams")
     found = probabilities(once.where("n > 0"), once.select("context", "symbol"))
     answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).cast("float").alias("bits"))
-    both = answers.withColumn("rows", F.lit(None).cast("binary")).unionByName(blocks, allowMissingColumns=True)
-    both = both.select("block", "number", "bits", "rows").repartition("block").sortWithinPartitions("block", F.col("rows").isNotNull())
+    bundles = answers.mapInArrow(_bundled(ANSWERS), "block bigint, n int, answers binary")
+    both = bundles.withColumn("rows", F.lit(None).cast("binary")).unionByName(blocks, allowMissingColumns=True)
+    both = both.select("block", "n", "answers", "rows").repartition("block").sortWithinPartitions("block", F.col("rows").isNotNull())
     return both.mapInArrow(_scored, "doc_id bigint, lang string, trusted boolean, counted boolean, n_symbols bigint, bits double")
 
 

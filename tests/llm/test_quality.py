@@ -5,6 +5,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,6 +94,27 @@ def test_grams_of_any_alphabet():
     assert [len(x) for x in quality.grams([])] == [0, 0, 0, 0]
 
 
+@pytest.mark.parametrize("held", [1, 700, 1 << 20])
+def test_bundles_hold_all_answers_in_less_room(held):
+    rng = np.random.default_rng(8)
+    blocks, numbers = np.repeat([5, 1 << 32, 7], 2_000), np.tile(np.arange(2_000, dtype=np.int32), 3)
+    bits = rng.random(6_000, np.float32)
+    order = rng.permutation(6_000)
+    arrays = [pa.array(x[order]) for x in (blocks, numbers, bits)]
+    batch = pa.RecordBatch.from_arrays(arrays, names=["block", "number", "bits"])
+    found, room = {}, 0
+    for out in quality._bundled(held)(iter([batch.slice(0, 2_500), batch.slice(2_500, 0), batch.slice(2_500)])):
+        for block, n, value in zip(*(column.to_pylist() for column in out.columns), strict=True):
+            places, answers = quality._unbundled(n, value)
+            room += len(value)
+            for place, answer in zip(places.tolist(), answers.tolist(), strict=True):
+                assert (block, place) not in found
+                found[block, place] = answer
+    assert found == {(b, n): x for b, n, x in zip(blocks.tolist(), numbers.tolist(), bits.tolist(), strict=True)}
+    assert room < 8 * len(order)
+    assert list(quality._bundled(held)(iter([]))) == []
+
+
 def test_probabilities_add_up(spark):
     """Over all symbols and the unseen one, after contexts seen and unseen."""
     texts = _texts(random.Random(5), "en", 20)

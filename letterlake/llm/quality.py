@@ -39,6 +39,8 @@ _POINTS = 0x110000
 BLOCK_CHARS = 4_000_000
 # Different numbers below this are told by a table of all of them, others by sorting slices.
 _TABLE = 1 << 26
+# Below this the table holds their places as well.
+_PLACES = 1 << 23
 _SLICE = 1 << 19
 # A task packs its answers by block when it holds so many.
 ANSWERS = 1 << 20
@@ -82,6 +84,10 @@ def _ranked(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
         different = np.flatnonzero(seen).astype(values.dtype)
     else:
         different = np.unique(np.concatenate([np.unique(part) for part in slices] or [values]))
+    if size <= _PLACES:
+        table = np.zeros(size, np.int32)
+        table[different] = np.arange(len(different), dtype=np.int32)
+        return different, table[values]
     places = np.empty(len(values), np.int32)
     for at, part in enumerate(slices):
         places[at * _SLICE : at * _SLICE + len(part)] = np.searchsorted(different, part)

@@ -81,6 +81,19 @@ def test_score_against_a_plain_model(spark, block_chars):
         assert got[key][1] == pytest.approx(sum(-math.log2(p(g)) for g in grams), rel=1e-6, abs=1e-6)
 
 
+def test_places_by_table_and_by_search_are_the_same(monkeypatch):
+    rng = np.random.default_rng(9)
+    for size in (1, 300, quality._PLACES, quality._PLACES + 1):
+        values = rng.integers(0, size, 5_000).astype(np.int32)
+        found = quality._ranked(values, size)
+        with monkeypatch.context() as m:
+            m.setattr(quality, "_PLACES", 0)
+            searched = quality._ranked(values, size)
+        for a, b in zip(found, searched, strict=True):
+            assert a.dtype == b.dtype and (a == b).all()
+        assert (found[0][found[1]] == values).all()
+
+
 def test_grams_of_any_alphabet():
     """Sorting and the table give the same; so does an alphabet beyond sixteen bits."""
     wide = "".join(map(chr, range(0x100, 0xD800))) + "".join(map(chr, range(0x10000, 0x18000)))

@@ -20,6 +20,7 @@ the model has not seen.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +32,13 @@ from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
 from letterlake.llm.common import kept, table, text_or_empty, whole_rows
+from letterlake.session import scratch_path
 
 ORDER = 4
 _BITS = 21
 _POINTS = 0x110000
 # A block ends with the document that brings it to so many characters.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 # Different numbers below this are told by a table of all of them, others by sorting slices.
 _TABLE = 1 << 26
 # Below this the table holds their places as well.
@@ -261,42 +263,48 @@ def _unbundled(n: int, value: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.frombuffer(whole, np.int32, n)), np.frombuffer(whole, np.float32, n, 4 * n)
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition by block, its answers before its documents."""
-    block, parts = None, []
-    for batch in batches:
-        for one, n, value, rows in zip(*batch.columns, strict=True):
-            if one.as_py() != block:
-                block, parts = one.as_py(), []
-            if not rows.is_valid:
-                parts.append(_unbundled(n.as_py(), value.as_py()))
-                continue
-            # A block's documents are one row, the last.
-            bits = np.zeros(sum(len(numbers) for numbers, _ in parts))
-            for numbers, answers in parts:
-                bits[numbers] = answers
-            parts = []
-            docs = _opened(rows.as_py())
-            _, _, places, sizes = grams(docs["text"].to_pylist())
-            sums = np.concatenate(([0.0], np.cumsum(bits[places]) if len(places) else []))
-            ends = np.cumsum(sizes)
-            found = [docs[name].combine_chunks() for name in ("doc_id", "lang", "trusted", "counted")]
-            yield pa.RecordBatch.from_arrays([*found, pa.array(sizes), pa.array(sums[ends] - sums[ends - sizes])], names=["doc_id", "lang", "trusted", "counted", "n_symbols", "bits"])
+def _bucketed(blocks: DataFrame) -> str:
+    """The name of an external table of ``blocks`` in the shared folder, in as many buckets as a shuffle has partitions.
+
+    Only a table of the catalog has buckets; dropped from there, its files stay.
+    """
+    spark, name = blocks.sparkSession, f"text_blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "text-blocks")).saveAsTable(name)
+    return name
+
+
+def _scored(answers: pa.Table, blocks: pa.Table) -> pa.Table:
+    """The documents of one block, with all answers to it."""
+    parts = [_unbundled(n.as_py(), value.as_py()) for n, value in zip(answers["n"], answers["answers"], strict=True)]
+    bits = np.zeros(sum(len(numbers) for numbers, _ in parts))
+    for numbers, found in parts:
+        bits[numbers] = found
+    docs = _opened(blocks["rows"][0].as_py())
+    _, _, places, sizes = grams(docs["text"].to_pylist())
+    sums = np.concatenate(([0.0], np.cumsum(bits[places]) if len(places) else []))
+    ends = np.cumsum(sizes)
+    found = docs.select(["doc_id", "lang", "trusted", "counted"])
+    return found.append_column("n_symbols", pa.array(sizes)).append_column("bits", pa.array(sums[ends] - sums[ends - sizes]))
 
 
 def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, lang, trusted, counted, n_symbols, bits) of documents (doc_id, lang, trusted, counted, text):
     the bits of each whole text under the model of the counted ones."""
-    blocks = kept(docs.select(*_PIECE.names).mapInArrow(_packed(block_chars), "block bigint, rows binary"), "text-blocks")
-    # Asked twice, as that costs less than to store the questions: a block's are always the same.
-    questions = blocks.mapInArrow(_questions, "block bigint, number int, context bigint, symbol int, n bigint")
-    once = kept(questions.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "grams")
-    found = probabilities(once.where("n > 0"), once.select("context", "symbol"))
-    answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).cast("float").alias("bits"))
-    bundles = answers.mapInArrow(_bundled(ANSWERS), "block bigint, n int, answers binary")
-    both = bundles.withColumn("rows", F.lit(None).cast("binary")).unionByName(blocks, allowMissingColumns=True)
-    both = both.select("block", "n", "answers", "rows").repartition("block").sortWithinPartitions("block", F.col("rows").isNotNull())
-    return both.mapInArrow(_scored, "doc_id bigint, lang string, trusted boolean, counted boolean, n_symbols bigint, bits double")
+    spark = docs.sparkSession
+    stored = _bucketed(docs.select(*_PIECE.names).mapInArrow(_packed(block_chars), "block bigint, rows binary"))
+    try:
+        blocks = spark.table(stored)
+        # Asked twice, as that costs less than to store the questions: a block's are always the same.
+        questions = blocks.mapInArrow(_questions, "block bigint, number int, context bigint, symbol int, n bigint")
+        once = kept(questions.groupBy("context", "symbol").agg(F.sum("n").alias("n")), "grams")
+        found = probabilities(once.where("n > 0"), once.select("context", "symbol"))
+        answers = questions.join(found, ["context", "symbol"]).select("block", "number", (-F.log2("p")).cast("float").alias("bits"))
+        bundles = answers.mapInArrow(_bundled(ANSWERS), "block bigint, n int, answers binary")
+        both = bundles.groupBy("block").cogroup(blocks.groupBy("block"))
+        return kept(both.applyInArrow(_scored, "doc_id bigint, lang string, trusted boolean, counted boolean, n_symbols bigint, bits double"), "scores")
+    finally:
+        spark.sql(f"drop table {stored}")
 
 
 def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
@@ -312,7 +320,7 @@ def judge(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text_or_empty("text").alias("text"))
     marked = docs.join(trusted, F.col("doc_id") == F.col("_id"), "left").withColumn("trusted", F.col("_id").isNotNull())
     measure = F.crc32(F.col("doc_id").cast("string")) % MEASURES == 0
-    scores = kept(score(marked.withColumn("counted", F.col("trusted") & ~measure)), "scores")
+    scores = score(marked.withColumn("counted", F.col("trusted") & ~measure))
     basis = scores.where("trusted and not counted and n_symbols > 0")
     if basis.isEmpty():
         basis = scores.where("trusted and n_symbols > 0")

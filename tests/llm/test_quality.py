@@ -169,3 +169,20 @@ def test_accuracy_on_held_out_labels(spark):
     for value in (0, 1):
         own = [r.kept == (value == 1) for r in rows if r.quality == value]
         assert sum(own) >= 0.9 * len(own)
+
+
+def test_texts_stay_in_their_buckets(spark, monkeypatch):
+    plans, kept = {}, quality.kept
+
+    def noted(rows, name):
+        plans[name] = rows._jdf.queryExecution().executedPlan().toString()
+        return kept(rows, name)
+
+    monkeypatch.setattr(quality, "kept", noted)
+    rows = spark.createDataFrame([(i, "en", i % 2 == 0, f"text number {i}") for i in range(40)], "doc_id bigint, lang string, trusted boolean, text string")
+    tables = spark.catalog.listTables()
+    assert quality.score(rows.withColumn("counted", F.col("trusted")), 100).count() == 40
+    # The answers are dealt by block, the blocks are read where they lie.
+    assert plans["scores"].count("Exchange hashpartitioning(block") == 1
+    assert "Bucketed: true" in plans["scores"]
+    assert spark.catalog.listTables() == tables

@@ -20,19 +20,16 @@ the model has not seen.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as compute
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from letterlake.functions.sizes import broadcast_if_small
+from letterlake.llm.blocks import bucketed, opened
 from letterlake.llm.common import kept, table, text_or_empty, whole_rows
-from letterlake.session import scratch_path
 
 ORDER = 4
 _BITS = 21
@@ -125,47 +122,11 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return (one << 2 * _BITS) | (two << _BITS) | three, last, places, sizes
 
 
-def _packed(block_chars: int):
-    """Rows of ``_PIECE`` as one compressed value for a block."""
-
-    def row(number: int, pieces: list[pa.RecordBatch]) -> pa.RecordBatch:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, _PIECE, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=9))) as stream:
-            for piece in pieces:
-                stream.write_batch(piece)
-        return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["block", "rows"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, pieces, held = TaskContext.get().partitionId() << 32, [], 0
-        for batch in batches:
-            batch = pa.RecordBatch.from_arrays([column.cast(kind) for column, kind in zip(batch.columns, _PIECE.types, strict=True)], schema=_PIECE)
-            # An empty text takes room too.
-            chars = np.cumsum(compute.utf8_length(batch.column("text")).to_numpy().astype(np.int64) + ORDER)
-            at = 0
-            while at < len(chars):
-                before = int(chars[at - 1]) if at else 0
-                end = min(int(np.searchsorted(chars, before + block_chars - held)) + 1, len(chars))
-                pieces.append(batch.slice(at, end - at))
-                held += int(chars[end - 1]) - before
-                at = end
-                if held >= block_chars:
-                    yield row(number, pieces)
-                    number, pieces, held = number + 1, [], 0
-        if pieces:
-            yield row(number, pieces)
-
-    return run
-
-
-def _opened(value: bytes) -> pa.Table:
-    return pa.ipc.open_stream(value).read_all()
-
-
 def _questions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each n-gram of a block once, with its number among them and how often the counted documents have it."""
     for batch in batches:
         for block, value in zip(batch.column(0), batch.column(1), strict=True):
-            rows = _opened(value.as_py())
+            rows = opened(value)
             contexts, last, places, sizes = grams(rows["text"].to_pylist())
             counted = np.repeat(rows["counted"].to_numpy(), sizes)
             counts = np.bincount(places[counted], minlength=len(last))
@@ -263,24 +224,13 @@ def _unbundled(n: int, value: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(np.frombuffer(whole, np.int32, n)), np.frombuffer(whole, np.float32, n, 4 * n)
 
 
-def _bucketed(blocks: DataFrame) -> str:
-    """The name of an external table of ``blocks`` in the shared folder, in as many buckets as a shuffle has partitions.
-
-    Only a table of the catalog has buckets; dropped from there, its files stay.
-    """
-    spark, name = blocks.sparkSession, f"text_blocks_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(buckets, "block").option("path", scratch_path(spark, "text-blocks")).saveAsTable(name)
-    return name
-
-
 def _scored(answers: pa.Table, blocks: pa.Table) -> pa.Table:
     """The documents of one block, with all answers to it."""
     parts = [_unbundled(n.as_py(), value.as_py()) for n, value in zip(answers["n"], answers["answers"], strict=True)]
     bits = np.zeros(sum(len(numbers) for numbers, _ in parts))
     for numbers, found in parts:
         bits[numbers] = found
-    docs = _opened(blocks["rows"][0].as_py())
+    docs = opened(blocks["rows"][0])
     _, _, places, sizes = grams(docs["text"].to_pylist())
     sums = np.concatenate(([0.0], np.cumsum(bits[places]) if len(places) else []))
     ends = np.cumsum(sizes)
@@ -292,7 +242,7 @@ def score(docs: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """(doc_id, lang, trusted, counted, n_symbols, bits) of documents (doc_id, lang, trusted, counted, text):
     the bits of each whole text under the model of the counted ones."""
     spark = docs.sparkSession
-    stored = _bucketed(docs.select(*_PIECE.names).mapInArrow(_packed(block_chars), "block bigint, rows binary"))
+    stored = bucketed(docs, _PIECE, "text", block_chars)
     try:
         blocks = spark.table(stored)
         # Asked twice, as that costs less than to store the questions: a block's are always the same.

@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
@@ -117,6 +118,28 @@ def test_repeats(spark, seed):
     assert {tuple(r) for r in found.collect()} == expected
 
 
+def test_repeats_in_small_blocks(spark, monkeypatch):
+    docs = documents(spark, corpus(6, 40) + [(3000, None, "en", "s"), (3001, "", "en", "s"), (3002, "short", "en", "s")])
+    whole = repeats.remove_repeats(docs).collect()
+    monkeypatch.setattr(repeats, "BLOCK_BYTES", 300)
+    assert sorted(repeats.remove_repeats(docs).collect()) == sorted(whole)
+
+
+def test_repeats_store_less_than_the_text(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    passages = [" ".join(rng.choices(words, k=30)) for _ in range(800)]
+    rows = [(i, " ".join([*rng.choices(words, k=100), *rng.choices(passages, k=2), *rng.choices(words, k=20)]), "en", "s") for i in range(1500)]
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+
+    def stored():
+        return sum(file.stat().st_size for file in folder.rglob("*.parquet"))
+
+    before = stored()
+    assert repeats.remove_repeats(documents(spark, rows)).count() == len(rows)
+    assert stored() - before < sum(len(text) for _, text, *_ in rows)
+
+
 def test_packing_round_trip(spark):
     rows = [(i, text, "en", "s") for i, (_, text, *_) in enumerate(DOCUMENTS)] + [(100 + i, t, l, s) for i, t, l, s in corpus(8)]
     rows += [(200, "日本語の文 🙂 <|endoftext|>", "ja", "s")]
